@@ -35,13 +35,13 @@ def json_array(document: Column, path: str) -> Column:
     return json_path(document, path, "array<variant>")
 
 
-def _is_array(leaf: Column) -> Column:
-    return F.try_variant_get(leaf, "$", "array<variant>").isNotNull()
+def _is_container(leaf: Column) -> Column:
+    return F.substring(F.schema_of_variant(leaf), 1, 5).isin("ARRAY", "OBJEC")
 
 
 def text(leaf: Column) -> Column:
     """Lax string: numbers and booleans coerce, arrays and objects give NULL."""
-    return F.when(~_is_array(leaf), F.try_variant_get(leaf, "$", "string"))
+    return F.when(~_is_container(leaf), F.try_variant_get(leaf, "$", "string"))
 
 
 def strict_text(leaf: Column) -> Column:

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("models",)
+MODULES = ("functions", "relational", "models")
 
 
 def load_queries():
