@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.session import scratch_path
-from assaylake.sinks.tables import clear_partition, partitioned_sink, read_partitioned
+from assaylake.sinks.tables import clear_partition, partitioned_sink
 
 
 def merge_by_key(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
@@ -28,38 +28,37 @@ def upsert_partitions(
     """Apply ``delta`` to the stored table, rewriting only days that gain, lose or change rows.
 
     A row whose date was corrected leaves its old day, so the days of matching old rows are rewritten
-    with the days of the delta. The merged days are written to the shared scratch folder first:
-    the table is never read while it is being replaced, and a lost executor re-reads stored input.
+    with the days of the delta. The delta is stored in the shared scratch folder first, so its plan
+    runs once and a rerun after a failure starts from the same rows. New files of a day replace the old
+    ones only when the whole job commits, after every read of the old ones is done.
     """
     spark = delta.sparkSession
     staging = scratch_path(spark, "upsert")
-    delta.write.parquet(f"{staging}/delta")
-    delta = spark.read.schema(delta.schema).parquet(f"{staging}/delta")
+    delta.write.parquet(staging)
+    delta = spark.read.schema(delta.schema).parquet(staging)
 
-    # Narrow scan: key and partition column only. One row per day comes back, at most the number
-    # of partitions the table already has.
+    # Narrow scans of key and partition column. At most one row per partition of the table comes back.
     keys = delta.select(key)
-    left = target.select(key, date_column).join(keys, key, "left_semi").select(date_column)
-    touched = left.union(delta.select(date_column)).distinct()
-    days = [r[0] for r in touched.collect()]
+    stored = target.select(key, date_column)
+    left = stored.join(keys, key, "left_semi").select(date_column, F.lit(True).alias("old"))
+    gained = delta.select(date_column, F.lit(False).alias("old"))
+    days = left.union(gained).groupBy(date_column).agg(F.bool_and("old").alias("only_old")).collect()
     if not days:
         return target
 
-    in_days = F.col(date_column).isin([d for d in days if d is not None])
-    if None in days:
-        in_days = in_days | F.col(date_column).isNull()
-    merged = merge_by_key(target.filter(in_days), delta, key)
-    staged = partitioned_sink(merged, f"{staging}/merged", date_column, cluster_by)
+    def in_days(values: list) -> Column:
+        listed = F.col(date_column).isin([v for v in values if v is not None])
+        return listed | F.col(date_column).isNull() if None in values else listed
 
-    filled = {r[0] for r in staged.select(date_column).distinct().collect()}
-    for day in days:
-        if day not in filled:
-            clear_partition(spark, target_path, date_column, day, merged.schema)
-    (
-        staged.sortWithinPartitions(date_column, *cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_column)
-        .parquet(target_path)
-    )
-    return read_partitioned(spark, target_path, merged.schema)
+    # A day that only lost rows may end up empty; overwriting with no rows would leave its old files.
+    losing = [d[date_column] for d in days if d["only_old"]]
+    emptied: set = set()
+    if losing:
+        kept = stored.filter(in_days(losing)).join(keys, key, "left_anti").select(date_column).distinct()
+        emptied = set(losing) - {r[0] for r in kept.collect()}
+    for day in emptied:
+        clear_partition(spark, target_path, date_column, day, delta.schema)
+
+    rewritten = [d[date_column] for d in days if d[date_column] not in emptied]
+    merged = merge_by_key(target.filter(in_days(rewritten)), delta, key)
+    return partitioned_sink(merged, target_path, date_column, cluster_by, only_touched=True)

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("functions", "relational", "models")
+MODULES = ("ingest", "functions", "relational", "models", "changes", "checks")
 
 
 def load_queries():

@@ -1,6 +1,5 @@
 """Projections, filters, joins, aggregates, windows, ordering, unions and subqueries."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assaylake.functions.json import is_laboratory, shape
@@ -78,10 +77,8 @@ query(
         WHERE l_shipdate >= (SELECT max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')""",
 )(
     lambda t: updated_since(
-        t.ws.model("observation_versions").crossJoin(
-            F.broadcast(high_water(t.raw("Observation").filter("last_updated < timestamp'1998-01-01'"), "last_updated"))
-        ),
-        F.col("mark"),
+        t.ws.model("observation_versions"),
+        high_water(t.raw("Observation").filter("last_updated < timestamp'1998-01-01'"), "last_updated").scalar(),
         "_loaded_at",
     ).select(F.col("fhir_observation_id").alias("oid"))
 )
@@ -287,33 +284,9 @@ query(
 
 # ---- ordering, unions, subqueries --------------------------------------------------------------
 
-query(
-    "order_by",
-    """SELECT o_custkey, n, row_number() OVER (ORDER BY n DESC, o_custkey) AS place FROM (
-        SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)""",
-)(lambda t: _placed(t))
-
-
-def _placed(t):
-    """A global order keeps its rank by the position in the sorted output, without one big window.
-
-    Range-sorted partitions are counted, and each row adds the rows of the partitions before its own.
-    """
-    counts = t.base("orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    frequencies = counts.groupBy("n").agg(F.count("*").alias("same"))
-    higher = (
-        frequencies.alias("a")
-        .join(frequencies.alias("b"), F.col("b.n") > F.col("a.n"), "left")
-        .groupBy(F.col("a.n").alias("n"))
-        .agg(F.coalesce(F.sum("b.same"), F.lit(0)).alias("before"))
-    )
-    within = Window.partitionBy("n").orderBy("o_custkey")
-    ranked = counts.withColumn("within", F.row_number().over(within)).join(higher, "n")
-    return ranked.select("o_custkey", "n", (F.col("before") + F.col("within")).alias("place")).orderBy(
-        F.desc("n"), "o_custkey"
-    )
-
-
+query("order_by", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey")(
+    lambda t: t.base("orders").groupBy("o_custkey").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "o_custkey")
+)
 query(
     "limit_one_correlated",
     "SELECT id, identifier_value FROM patients",
@@ -353,17 +326,18 @@ query(
     "scalar_subquery",
     "SELECT n_nationkey, (SELECT max('v' || r_regionkey) FROM region) AS version FROM nation",
 )(
-    lambda t: t.base("nation")
-    .select("n_nationkey")
-    .crossJoin(F.broadcast(t.vocabulary("vocabulary").agg(F.max("vocabulary_version").alias("version"))))
+    lambda t: t.base("nation").select(
+        "n_nationkey", t.vocabulary("vocabulary").agg(F.max("vocabulary_version")).scalar().alias("version")
+    )
 )
 query(
     "scalar_subquery_filter",
     "SELECT o_orderkey FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 30 DAY",
 )(
     lambda t: t.base("orders")
-    .crossJoin(F.broadcast(t.base("orders").agg(F.max("o_orderdate").alias("mark"))))
-    .filter(F.col("o_orderdate") >= F.col("mark") - F.expr("interval 30 days"))
+    .filter(
+        F.col("o_orderdate") >= t.base("orders").agg(F.max("o_orderdate")).scalar() - F.expr("interval 30 days")
+    )
     .select("o_orderkey")
 )
 query(
