@@ -142,7 +142,7 @@ def built_in_catalogue() -> Catalogue:
 def catalogue_from_csv(spark: SparkSession, path: str) -> Catalogue:
     """The whole data model from its published field-level CSV (some hundreds of rows)."""
     rows = spark.read.csv(path, header=True, multiLine=True, escape='"').collect()
-    types = {"integer": "bigint", "float": "double", "datetime": "timestamp", "date": "date"}
+    types = {"integer": T.LongType(), "float": T.DoubleType(), "datetime": T.TimestampType(), "date": T.DateType()}
     fields: dict[str, list[T.StructField]] = {}
     keys: dict[str, str] = {}
     links: list[ForeignKey] = []
@@ -152,9 +152,8 @@ def catalogue_from_csv(spark: SparkSession, path: str) -> Catalogue:
 
     for row in rows:
         table, column = row["cdmTableName"].lower(), row["cdmFieldName"].lower().strip('"`')
-        kind = types.get((row["cdmDatatype"] or "").lower(), "string")
-        parsed = T.StructType.fromDDL(f"c {kind}").fields[0].dataType
-        fields.setdefault(table, []).append(T.StructField(column, parsed, not yes(row["isRequired"])))
+        kind = types.get((row["cdmDatatype"] or "").lower(), T.StringType())
+        fields.setdefault(table, []).append(T.StructField(column, kind, not yes(row["isRequired"])))
         if yes(row["isPrimaryKey"]):
             keys[table] = column
         if yes(row["isForeignKey"]):

@@ -4,39 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# OMOP CDM v5.4 vocabulary columns; NOT NULL marks a required one.
-_DDL = {
-    "concept": """concept_id BIGINT NOT NULL, concept_name STRING NOT NULL, domain_id STRING NOT NULL,
-        vocabulary_id STRING NOT NULL, concept_class_id STRING NOT NULL, standard_concept STRING,
-        concept_code STRING NOT NULL, valid_start_date DATE NOT NULL, valid_end_date DATE NOT NULL,
-        invalid_reason STRING""",
-    "concept_relationship": """concept_id_1 BIGINT NOT NULL, concept_id_2 BIGINT NOT NULL,
-        relationship_id STRING NOT NULL, valid_start_date DATE NOT NULL,
-        valid_end_date DATE NOT NULL, invalid_reason STRING""",
-    "concept_ancestor": """ancestor_concept_id BIGINT NOT NULL, descendant_concept_id BIGINT NOT NULL,
-        min_levels_of_separation BIGINT NOT NULL, max_levels_of_separation BIGINT NOT NULL""",
-    "concept_synonym": """concept_id BIGINT NOT NULL, concept_synonym_name STRING NOT NULL,
-        language_concept_id BIGINT NOT NULL""",
-    "concept_class": """concept_class_id STRING NOT NULL, concept_class_name STRING NOT NULL,
-        concept_class_concept_id BIGINT NOT NULL""",
-    "domain": "domain_id STRING NOT NULL, domain_name STRING NOT NULL, domain_concept_id BIGINT NOT NULL",
-    "drug_strength": """drug_concept_id BIGINT NOT NULL, ingredient_concept_id BIGINT NOT NULL,
-        amount_value DECIMAL(38,9), amount_unit_concept_id BIGINT, numerator_value DECIMAL(38,9),
-        numerator_unit_concept_id BIGINT, denominator_value DECIMAL(38,9),
-        denominator_unit_concept_id BIGINT, box_size BIGINT, valid_start_date DATE NOT NULL,
-        valid_end_date DATE NOT NULL, invalid_reason STRING""",
-    "relationship": """relationship_id STRING NOT NULL, relationship_name STRING NOT NULL,
-        is_hierarchical STRING NOT NULL, defines_ancestry STRING NOT NULL,
-        reverse_relationship_id STRING NOT NULL, relationship_concept_id BIGINT NOT NULL""",
-    "vocabulary": """vocabulary_id STRING NOT NULL, vocabulary_name STRING NOT NULL,
-        vocabulary_reference STRING, vocabulary_version STRING, vocabulary_concept_id BIGINT NOT NULL""",
+# OMOP CDM v5.4 vocabulary columns in declared order; ``!`` marks a required one.
+_COLUMNS = {
+    "concept": """concept_id:long! concept_name:text! domain_id:text! vocabulary_id:text! concept_class_id:text!
+        standard_concept:text concept_code:text! valid_start_date:date! valid_end_date:date! invalid_reason:text""",
+    "concept_relationship": """concept_id_1:long! concept_id_2:long! relationship_id:text! valid_start_date:date!
+        valid_end_date:date! invalid_reason:text""",
+    "concept_ancestor": """ancestor_concept_id:long! descendant_concept_id:long! min_levels_of_separation:long!
+        max_levels_of_separation:long!""",
+    "concept_synonym": "concept_id:long! concept_synonym_name:text! language_concept_id:long!",
+    "concept_class": "concept_class_id:text! concept_class_name:text! concept_class_concept_id:long!",
+    "domain": "domain_id:text! domain_name:text! domain_concept_id:long!",
+    "drug_strength": """drug_concept_id:long! ingredient_concept_id:long! amount_value:number
+        amount_unit_concept_id:long numerator_value:number numerator_unit_concept_id:long denominator_value:number
+        denominator_unit_concept_id:long box_size:long valid_start_date:date! valid_end_date:date!
+        invalid_reason:text""",
+    "relationship": """relationship_id:text! relationship_name:text! is_hierarchical:text! defines_ancestry:text!
+        reverse_relationship_id:text! relationship_concept_id:long!""",
+    "vocabulary": """vocabulary_id:text! vocabulary_name:text! vocabulary_reference:text vocabulary_version:text
+        vocabulary_concept_id:long!""",
 }
-
-VOCABULARY_SCHEMAS: dict[str, T.StructType] = {
-    name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()
+_TYPES = {
+    "long": T.LongType(),
+    "text": T.StringType(),
+    "date": T.DateType(),
+    "number": T.DecimalType(38, 9),
 }
 
 
+def _schema(columns: str) -> T.StructType:
+    fields = []
+    for column in columns.split():
+        name, kind = column.rstrip("!").split(":")
+        fields.append(T.StructField(name, _TYPES[kind], not column.endswith("!")))
+    return T.StructType(fields)
+
+
+VOCABULARY_SCHEMAS: dict[str, T.StructType] = {name: _schema(columns) for name, columns in _COLUMNS.items()}
+
+
 def required_columns(table: str) -> list[str]:
     """Columns that must be filled; file readers do not enforce it, so a check does."""
     return [f.name for f in VOCABULARY_SCHEMAS[table].fields if not f.nullable]

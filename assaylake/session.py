@@ -28,10 +28,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="assaylake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="assaylake-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -31,9 +31,12 @@ def _coding(system: str, code: str, display: str | None = None) -> str:
 class Tables:
     """The driver's tables of one folder, as base tables, landing lines, raw rows and a workspace."""
 
-    def __init__(self, spark: SparkSession, folder: str, config: EngineConfig | None = None):
+    def __init__(
+        self, spark: SparkSession, folder: str, config: EngineConfig | None = None, spread: int | None = None
+    ):
         self.spark = configure(spark)
         self.folder = folder
+        self.spread = spread
         self._frames: dict[str, DataFrame] = {}
         self.ws = Workspace(
             spark,
@@ -46,7 +49,8 @@ class Tables:
     def base(self, name: str) -> DataFrame:
         key = f"base:{name}"
         if key not in self._frames:
-            self._frames[key] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._frames[key] = df.repartition(self.spread) if self.spread else df
         return self._frames[key]
 
     # ---- landing lines -------------------------------------------------------------------------
