@@ -14,9 +14,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Whole-document extraction reads every field, so shredded storage only adds write cost.
+    # Staging reads nearly every member of a document: whole documents are stored and extracted
+    # in the projection, where unused members are still pruned.
     "spark.sql.variant.writeShredding.enabled": "false",
     "spark.sql.variant.inferShreddingSchema": "false",
+    "spark.sql.variant.pushVariantIntoScan": "false",
 }
 
 
