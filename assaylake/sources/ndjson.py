@@ -71,6 +71,4 @@ def _rows(parsed: DataFrame, run_date: Column | str) -> DataFrame:
 
 def ndjson_scan(spark: SparkSession, prefix: str, run_date: str, resource_type: str) -> DataFrame:
     """Raw rows of one resource type landed on one day; other types' files are not opened."""
-    return raw_envelope(ndjson_lines(spark, f"{prefix}/{run_date}/{resource_type}*.ndjson"), run_date).filter(
-        resource_type_of(F.col(FILE_URI)) == resource_type
-    )
+    return raw_envelope(ndjson_lines(spark, f"{prefix}/{run_date}/{resource_type}[-.]*ndjson"), run_date)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.config import EngineConfig
+from assaylake.schemas.raw import RAW
+from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS
 from assaylake.sources.seeds import default_test_seed, default_unit_seed
 
 Reader = Callable[[str], DataFrame]
@@ -36,6 +39,26 @@ class Workspace:
         self._models: dict[str, DataFrame] = {}
         self._concept_counts: dict[str, int] | None = None
 
+    @classmethod
+    def at(cls, spark: SparkSession, root: str, config: EngineConfig | None = None, **seeds: DataFrame) -> Workspace:
+        """Workspace over tables stored under ``root`` (``raw/<Type>``, ``vocabulary/<table>``).
+
+        A resource type that was never landed is an empty table.
+        """
+
+        def raw(resource_type: str) -> DataFrame:
+            try:
+                return spark.read.schema(RAW).option("mergeSchema", "true").parquet(f"{root}/raw/{resource_type}")
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                return spark.createDataFrame([], RAW)
+
+        def vocabulary(table: str) -> DataFrame:
+            return spark.read.schema(VOCABULARY_SCHEMAS[table]).parquet(f"{root}/vocabulary/{table}")
+
+        return cls(spark, raw, vocabulary, config, seeds)
+
     def raw(self, resource_type: str) -> DataFrame:
         return self._raw(resource_type)
 
