@@ -53,6 +53,8 @@ def check_all(ws: Workspace, catalogue: Catalogue | None = None) -> DataFrame:
         checks.check_foreign_keys(tables, catalogue),
         checks.check_concepts_valid(tables, ws.vocabulary("concept"), catalogue),
     ]
+    for name, key in stages.STAGING_KEYS.items():
+        parts.append(checks.check_key_collisions(ws.model(name), name, key))
     for name, (start, end) in START_AND_END.items():
         parts.append(checks.check_date_order(ws.model(name), name.removeprefix("omop_"), start, end))
     return checks.union_all(parts)

@@ -15,6 +15,7 @@ from assaylake.config import ETHNICITY_URL, LOINC_URI, RACE_URL, SNOMED_URI
 from assaylake.functions import json as j
 from assaylake.functions.scalars import reference_id
 from assaylake.operators.versions import VERSION_ORDER, latest_version, updated_since
+from assaylake.schemas.raw import RUN_DATE
 from assaylake.workspace import Workspace
 
 _REFERENCE = "struct<reference:variant>"
@@ -177,13 +178,17 @@ def observation_versions(ws: Workspace, since: Column | None = None) -> DataFram
     The split by ``is_lab`` comes after the newest version is known: an older laboratory version
     must not survive a newer one of another category.
     """
+    raw = updated_since(ws.raw("Observation"), since)
+    slack = ws.config.run_date_slack_days
+    if since is not None and slack is not None:
+        raw = raw.filter(F.col(RUN_DATE) >= F.date_sub(F.to_date(since), slack))
     codings = F.col("code")["coding"]
     first_coding = j.first(codings)
     quantity = F.col("valueQuantity")
     value_codings = F.col("valueCodeableConcept")["coding"]
     reference_range = j.first(F.col("referenceRange"))
     return _staged(
-        updated_since(ws.raw("Observation"), since),
+        raw,
         OBSERVATION,
         "fhir_observation_id",
         {

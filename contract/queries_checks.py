@@ -81,6 +81,15 @@ query(
         t.ws.model("stg_encounter"), "stg_encounter", ["patient_ref"], t.ws.model("stg_patient"), "fhir_patient_id"
     )
 )
+query(
+    "check_key_collisions",
+    """SELECT 'key_collision' AS "check", 'stg_observation' AS table_name, 'fhir_observation_id' AS column_name,
+        0 AS failed, count(*) AS total FROM observations""",
+)(
+    lambda t: checks.check_key_collisions(
+        t.ws.model("observation_versions"), "stg_observation", "fhir_observation_id"
+    )
+)
 query(
     "check_unique_combination",
     """SELECT 'unique_combination' AS "check", 'lineitem' AS table_name, 'l_orderkey,l_linenumber' AS column_name,
@@ -166,7 +175,6 @@ def marts(t: Tables, *names: str):
     return {n.removeprefix("omop_"): t.ws.model(n) for n in names or MARTS}
 
 
-SPECIMEN_TABLES = ("omop_person", "omop_specimen", "omop_location")
 query(
     "dq_field_nullability",
     rows(
