@@ -84,7 +84,7 @@ query(
 query(
     "check_key_collisions",
     """SELECT 'key_collision' AS "check", 'stg_observation' AS table_name, 'fhir_observation_id' AS column_name,
-        0 AS failed, count(*) AS total FROM observations""",
+        CAST(0 AS BIGINT) AS failed, count(*) AS total FROM observations""",
 )(
     lambda t: checks.check_key_collisions(
         t.ws.model("observation_versions"), "stg_observation", "fhir_observation_id"
@@ -108,7 +108,7 @@ query(
 query(
     "check_raw_contract",
     """SELECT 'Specimen' AS resource_type, count(*) AS n_rows, 0 AS empty_id, 0 AS wrong_type,
-        0 AS empty_raw, 0 AS empty_last_updated FROM specimens
+        CAST(0 AS BIGINT) AS empty_raw, CAST(0 AS BIGINT) AS empty_last_updated FROM specimens
         UNION ALL SELECT 'Wrong', count(*), count(*), count(*), 0, 0 FROM encounters""",
 )(lambda t: _contract(t))
 
@@ -125,7 +125,10 @@ def _contract(t):
     return by_file.groupBy(kind.alias("resource_type")).agg(*[F.sum(c).alias(c) for c in counts])
 
 
-STAGE = "SELECT '{name}' AS name, true AS ok, 0 AS missing_tables, 0 AS empty_tables FROM {source} HAVING count(*) > 0"
+STAGE = (
+    "SELECT '{name}' AS name, true AS ok, CAST(0 AS BIGINT) AS missing_tables, CAST(0 AS BIGINT) AS empty_tables "
+    "FROM {source} HAVING count(*) > 0"
+)
 query("check_raw_tables", STAGE.format(name="raw_tables", source="lineitem"))(
     lambda t: stages.raw_tables({n: t.raw(n) for n in REQUIRED_RESOURCE_TYPES})
 )
@@ -139,7 +142,7 @@ query(
     "measurement_gaps",
     """SELECT 'measurement_gaps' AS name, true AS ok, count(*) AS n_rows,
         count(*) FILTER (measurement_concept_id = 0) AS unknown_concept, count(*) FILTER (unit_concept_id = 0) AS unknown_unit,
-        0 AS null_person, 100.0 * count(*) FILTER (measurement_concept_id = 0) / count(*) AS pct_unknown_concept,
+        CAST(0 AS BIGINT) AS null_person, 100.0 * count(*) FILTER (measurement_concept_id = 0) / count(*) AS pct_unknown_concept,
         100.0 * count(*) FILTER (unit_concept_id = 0) / count(*) AS pct_unknown_unit FROM measurements""",
 )(lambda t: stages.measurement_gaps(t.ws))
 query(

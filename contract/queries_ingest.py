@@ -170,7 +170,7 @@ BUNDLE = """
     UNION ALL SELECT 'concept_class', count(*) FROM nation UNION ALL SELECT 'domain', count(*) FROM region
     UNION ALL SELECT 'drug_strength', count(*) FROM part UNION ALL SELECT 'vocabulary', count(*) FROM region"""
 BUNDLED = [name for name in VOCABULARY_SCHEMAS if name != "relationship"]
-query("vocab_schemas", f"SELECT table_name, row_count AS total, 0 AS failed FROM ({BUNDLE})")(
+query("vocab_schemas", f"SELECT table_name, row_count AS total, CAST(0 AS BIGINT) AS failed FROM ({BUNDLE})")(
     lambda t: _schema_checks(t)
 )
 
@@ -180,7 +180,7 @@ def _schema_checks(t):
     per_column = checks.union_all(
         checks.check_not_null(vocabulary_scan(t.spark, n, f"{root}/{n}.csv"), n, required_columns(n)) for n in BUNDLED
     )
-    return per_column.groupBy("table_name").agg(F.max("total").alias("total"), F.sum("failed").cast("int").alias("failed"))
+    return per_column.groupBy("table_name").agg(F.max("total").alias("total"), F.sum("failed").alias("failed"))
 
 
 query("vocab_date_fix", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")(
@@ -279,7 +279,7 @@ def _corrected_visits(t):
 
 query(
     "dq_report_sink",
-    """SELECT 'not_null' AS "check", 'orders' AS table_name, 'o_custkey' AS column_name, 0 AS failed, count(*) AS total,
+    """SELECT 'not_null' AS "check", 'orders' AS table_name, 'o_custkey' AS column_name, CAST(0 AS BIGINT) AS failed, count(*) AS total,
         DATE '2024-01-02' AS run_date FROM orders""",
 )(lambda t: _stored_report(t))
 
@@ -289,5 +289,5 @@ def _stored_report(t):
     results = checks.check_not_null(t.base("orders"), "orders", ["o_custkey"])
     for _ in range(2):
         report_sink(results, path, RUN_DATE)
-    schema = "check string, table_name string, column_name string, failed int, total bigint, run_date date"
+    schema = "check string, table_name string, column_name string, failed bigint, total bigint, run_date date"
     return t.spark.read.schema(schema).json(path)
