@@ -9,6 +9,7 @@ from assaylake.config import REQUIRED_RESOURCE_TYPES, EngineConfig
 from assaylake.plans.build import MARTS, adopt_stored, build_all, refresh_measurement, store_model
 from assaylake.quality import checks, stages
 from assaylake.schemas.cdm import Catalogue, built_in_catalogue
+from assaylake.session import size_shuffles, stored_bytes
 from assaylake.sinks.raw import load_run
 from assaylake.sinks.reports import report_sink
 from assaylake.workspace import Workspace
@@ -24,6 +25,7 @@ AFTER_MEASUREMENT = ("omop_observation", "omop_fact_relationship", "omop_cdm_sou
 def build(ws: Workspace, root: str, full_refresh: bool = False) -> None:
     """All CDM tables; measurement incrementally unless a full refresh is asked for."""
     staging, cdm = f"{root}/staging", f"{root}/cdm"
+    size_shuffles(ws.spark, stored_bytes(ws.spark, f"{root}/raw"))
     if full_refresh:
         build_all(ws, staging, cdm)
         return

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the engine relies on; all may be set on a live session.
 RUNTIME_SETTINGS = {
@@ -28,6 +30,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffle data one task should handle: small enough to sort in executor memory without much spilling.
+BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
+# Beyond this, the number of map-by-reduce blocks costs more than letting larger tasks spill.
+MOST_SHUFFLE_TASKS = 32_768
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under a folder; a distributed listing that reads no contents."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Let shuffles start with enough partitions for this much input; adaptive execution merges small ones."""
+    wanted = min(math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK), MOST_SHUFFLE_TASKS)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
     context = spark.sparkContext

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assaylake.schemas.raw import RAW
+from assaylake.session import scratch_path, scratch_root, size_shuffles, stored_bytes
 from assaylake.sinks.raw import load_run, raw_append, raw_read
 from assaylake.sinks.reports import report_sink
 from assaylake.sinks.tables import partitioned_sink, table_sink
@@ -156,6 +157,25 @@ def test_writes_spread_one_hot_day_and_keep_order(spark, tmp_path):
     assert people == sorted(people)
 
 
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.parquet").write_bytes(b"12345")
+    (tmp_path / "y.parquet").write_bytes(b"678")
+    assert stored_bytes(spark, str(tmp_path)) == 8
+    try:
+        assert size_shuffles(spark, 8) == 4
+        assert size_shuffles(spark, 10**12) == 7451
+        assert size_shuffles(spark, 100 * 10**12) == 32_768
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_scratch_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch_path(spark, "x")
+    assert path.startswith((named or scratch_root(spark)).rstrip("/")) and path != scratch_path(spark, "x")
+
+
 def test_table_and_report_sinks(spark, tmp_path):
     assert table_sink(spark.range(3).toDF("id"), str(tmp_path / "t")).count() == 3
     results = spark.createDataFrame([("c", "t", "x", 0, 1)], "check string, table_name string, column_name string, failed long, total long")
