@@ -13,6 +13,7 @@ def no_broadcast(spark):
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
