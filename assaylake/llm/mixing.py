@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import ranked, stored, word_count
+from assaylake.llm.common import keyed, ranked, stored, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -160,9 +160,8 @@ def mixed(docs: DataFrame, share: float = SHARE, most: int = MOST_COPIES) -> Dat
     """The rows of ``docs``, each as often as the mix takes it."""
     picks = mix_sources(docs, share, most).groupBy(F.xxhash64("doc_id").alias("_id"), F.col("version").alias("_v"))
     picks = picks.agg(F.sum("copies").alias("_copies"), F.count("*").alias("_n")).filter("_copies > 0")
-    keyed = docs.withColumns({"_id": F.xxhash64("doc_id"), "_v": F.xxhash64("text")})
     # Rows that share doc_id and text share their copies: the first of them take one more where they do not divide.
     row = F.row_number().over(W.partitionBy("_id", "_v").orderBy("_v"))
-    found = keyed.join(picks, ["_id", "_v"]).withColumn("_row", row)
+    found = keyed(docs).join(picks, ["_id", "_v"]).withColumn("_row", row)
     own = F.floor((F.col("_copies") + F.col("_n") - F.col("_row")) / F.col("_n")).cast("int")
-    return found.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), own))).select(*docs.columns)
+    return found.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), own))).select("row.*")

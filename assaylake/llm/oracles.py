@@ -3,7 +3,7 @@
 from assaylake.llm.license_scan import TEMPLATES, THRESHOLD
 from assaylake.llm.line_dedup import RUN_LINES
 from assaylake.llm.ngram_join import PERCENT, WORDS
-from assaylake.llm.quality_rules import BASE, HOST_LIMIT
+from assaylake.llm.quality_rules import BASE, HOST_LIMIT, LEAST_STRENGTH
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -76,7 +76,7 @@ def quality_sql() -> str:
         for r in rules
     )
     strength = ", ".join(
-        f"CASE WHEN hosts < 2 OR beyond_{r} <= 0 THEN average ELSE least(average, greatest(1.0, mean_{r} * (1 - mean_{r}) / beyond_{r} - 1)) END AS k_{r}"
+        f"CASE WHEN hosts < 2 OR beyond_{r} <= 0 THEN average ELSE least(average, greatest({LEAST_STRENGTH}, mean_{r} * (1 - mean_{r}) / beyond_{r} - 1)) END AS k_{r}"
         for r in rules
     )
     verdicts = " OR ".join(

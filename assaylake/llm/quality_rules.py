@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import stored
+from assaylake.llm.common import keyed, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW = 5
 # Share of a host's documents that may fail a rule, after shrinking.
 HOST_LIMIT = 0.5
+# Documents that the prior counts for at least.
+LEAST_STRENGTH = 4.0
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -135,7 +137,7 @@ def beta_prior(hosts: int, docs: int, inverse: float, failures: int, rates: floa
     beyond = spread - chance
     if beyond <= 0:
         return mean, average
-    return mean, min(average, max(1.0, mean * (1 - mean) / beyond - 1))
+    return mean, min(average, max(LEAST_STRENGTH, mean * (1 - mean) / beyond - 1))
 
 
 def quality_rules(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
@@ -160,8 +162,7 @@ def quality_rules(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
 
 def keep_good(docs: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns."""
-    good = quality_rules(docs, limit).filter("kept").select(F.col("doc_id").alias("_id"), F.col("version").alias("_v"), F.col("source").alias("_s"))
-    match = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_v")) & F.col("source").eqNullSafe(F.col("_s"))
-    )
-    return docs.join(good, match, "left_semi")
+    verdicts = quality_rules(docs, limit).filter("kept")
+    good = verdicts.select(F.xxhash64("doc_id").alias("_id"), F.col("version").alias("_v"), F.xxhash64("source").alias("_s"))
+    rows = keyed(docs).withColumn("_s", F.xxhash64("row.source"))
+    return rows.join(good, ["_id", "_v", "_s"], "left_semi").select("row.*")

@@ -13,7 +13,7 @@ import heapq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import groups_for, place_in_group, stored
+from assaylake.llm.common import groups_for, keyed, place_in_group, stored
 
 SHARDS = 24
 # Bytes that a document takes besides its text.
@@ -75,8 +75,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def write_shards(docs: DataFrame, target: str, shards: int = SHARDS) -> None:
     """The documents themselves, in one folder per shard; a document is found by doc_id and checksum of its text."""
-    places = balanced_shards(docs, shards).select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard").distinct()
-    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    rest = [c for c in docs.columns if c != "shard"]
-    found = docs.select(*rest).join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (crc == F.col("_crc")))
-    found.select(*rest, "shard").hint("rebalance", "shard").write.partitionBy("shard").parquet(target)
+    places = balanced_shards(docs, shards).select(F.xxhash64("doc_id").alias("_id"), "text_crc32", "shard").distinct()
+    rows = keyed(docs).withColumn("text_crc32", F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")))
+    found = rows.join(places, ["_id", "text_crc32"]).select(*[F.col(f"row.`{c}`") for c in docs.columns if c != "shard"], "shard")
+    found.hint("rebalance", "shard").write.partitionBy("shard").parquet(target)
