@@ -32,8 +32,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+def keyed(docs: DataFrame) -> DataFrame:
+    """(row, _id, _v): whole rows, beside hashes of doc_id and text to join by; the names in a row clash with nothing."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return whole.select("row", F.xxhash64("row.doc_id").alias("_id"), F.xxhash64("row.text").alias("_v"))
 
 
 def word_count(text: Column) -> Column:
@@ -44,6 +46,11 @@ def word_count(text: Column) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row: an optimiser may otherwise repeat it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
 
