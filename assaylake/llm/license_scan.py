@@ -13,6 +13,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assaylake.llm.common import let
+
 THRESHOLD = 0.8
 
 _MIT = (
@@ -124,8 +126,9 @@ def license_scan(
     found = found.withColumn("words", F.split("unit", " +"))
     # A unit has at most one bigram less than words, and at least one less than different words.
     found = found.filter(F.size("words") > min(sizes)).filter(F.size(F.array_distinct("words")) <= max(sizes) + 1)
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i))
+    pairs = let(
+        F.col("words"),
+        lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i))),
     )
     found = found.withColumn("grams", F.array_distinct(pairs)).withColumn("size", F.size("grams"))
     shared = F.size(F.array_intersect("grams", "template"))
