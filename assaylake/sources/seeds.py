@@ -24,7 +24,7 @@ UNIT_SEED = T.StructType(
 
 # Analyser test codes and the concepts they stand for.
 _ANALYSER = "urn:roche:cobas"
-_TEST_ROWS = [
+TEST_ROWS = [
     ("ROCHE_GLUC_FST", _ANALYSER, 3004501, 0, "glucose, fasting"),
     ("ROCHE_HGB", _ANALYSER, 3000963, 0, "hemoglobin"),
     ("ROCHE_CREA", _ANALYSER, 3016723, 0, "creatinine"),
@@ -35,7 +35,7 @@ _TEST_ROWS = [
 ]
 
 # Unit spellings and the concepts they stand for.
-_UNIT_ROWS = [
+UNIT_ROWS = [
     ("mg/dl", 8840),
     ("mg/dL", 8840),
     ("g/dl", 8713),
@@ -65,11 +65,11 @@ _UNIT_ROWS = [
 
 
 def default_test_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(_TEST_ROWS, TEST_SEED)
+    return spark.createDataFrame(TEST_ROWS, TEST_SEED)
 
 
 def default_unit_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(unit, target, None) for unit, target in _UNIT_ROWS], UNIT_SEED)
+    return spark.createDataFrame([(unit, target, None) for unit, target in UNIT_ROWS], UNIT_SEED)
 
 
 def seed_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

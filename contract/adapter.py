@@ -1,6 +1,8 @@
 """FHIR landing lines and vocabulary tables derived from the driver's tables.
 
-Every row of the base tables takes part; the expressions below only shape it.
+Every row of the base tables takes part; the expressions below only shape it. References to resources that nobody
+has carry a negative key: patients of every fiftieth customer, encounters of every third and specimens of every
+second order, as other resources refer to them.
 """
 
 from __future__ import annotations
@@ -18,6 +20,31 @@ RUN_DATE = "2024-01-02"
 EARLIER_RUN_DATE = "2024-01-01"
 LANDING = "file:/landing"
 
+# Keys as references name them; negative ones belong to nobody. Spark and SQL read them alike.
+PATIENT_KEY = "CASE WHEN o_custkey % 50 = 49 THEN -o_custkey ELSE o_custkey END"
+ENCOUNTER_KEY = "CASE WHEN {0} % 3 = 2 THEN -{0} ELSE {0} END"
+SPECIMEN_KEY = "CASE WHEN {0} % 2 = 1 THEN -{0} ELSE {0} END"
+
+# Concepts outside the two big vocabularies.
+FIXED_CONCEPTS = [
+    (8840, "milligram per deciliter", "UCUM", "mg/dL"),
+    (9840, "spelled in capitals", "UCUM", "MG/DL"),
+    (8848, "thousand per microliter", "UCUM", "10*9/L"),
+    (8507, "MALE", "Gender", "MALE"),
+    (8532, "FEMALE", "Gender", "FEMALE"),
+    (8527, "White", "Race", "2106-3"),
+    (38003563, "Hispanic or Latino", "Ethnicity", "2135-2"),
+    (9201, "visit class 1", "Visit", "p1"),
+    (9202, "visit class 2", "Visit", "p2"),
+    (9203, "visit class 3", "Visit", "p3"),
+    (9204, "visit class 4", "Visit", "p4"),
+    (4171756, "Less than", "Meas Value Operator", "op1"),
+    (4171754, "Less than or equal to", "Meas Value Operator", "op2"),
+    (4172704, "Greater than", "Meas Value Operator", "op3"),
+    (4171755, "Greater than or equal to", "Meas Value Operator", "op4"),
+    (4172703, "Equal", "Meas Value Operator", "op5"),
+]
+
 
 def iso(column: str) -> str:
     return f"date_format(cast({column} as timestamp), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
@@ -86,7 +113,6 @@ class Tables:
         people = (
             self.base("customer")
             .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
-            .filter("c_custkey % 50 <> 49")
             .withColumn(
                 "run_date",
                 F.expr(
@@ -120,15 +146,14 @@ class Tables:
 
     def _encounter(self) -> DataFrame:
         members = f"""
-            'subject', named_struct('reference', concat('Patient/C', o_custkey)),
+            'subject', named_struct('reference', concat('Patient/C', {PATIENT_KEY})),
             'period', named_struct('start', {iso('o_orderdate')},
                 'end', case when o_orderstatus <> 'O' then {iso("o_orderdate + interval 1 day")} end),
             'class', named_struct('code', concat('P', substr(o_orderpriority, 1, 1)), 'system', 'urn:visit-class'),
             'status', 'finished',
             'serviceProvider', case when o_orderkey % 4 = 0 then
                 named_struct('reference', concat('Organization/O', o_custkey % 25)) end"""
-        orders = self.base("orders").filter("o_orderkey % 3 <> 2")
-        return self._emit(orders, "Encounter", "concat('E', o_orderkey)", iso("o_orderdate"), members)
+        return self._emit(self.base("orders"), "Encounter", "concat('E', o_orderkey)", iso("o_orderdate"), members)
 
     def _diagnosticreport(self) -> DataFrame:
         # At most seven line numbers per order remain after distinct.
@@ -146,8 +171,8 @@ class Tables:
         )
         panel = _coding(f"'{LOINC_URI}'", "concat('P', o_orderkey % 100)", "concat('Panel ', o_orderkey % 100)")
         members = f"""
-            'subject', named_struct('reference', concat('Patient/C', o_custkey)),
-            'encounter', named_struct('reference', concat('http://h/fhir/Encounter/E', o_orderkey)),
+            'subject', named_struct('reference', concat('Patient/C', {PATIENT_KEY})),
+            'encounter', named_struct('reference', concat('http://h/fhir/Encounter/E', {ENCOUNTER_KEY.format("o_orderkey")})),
             'effectiveDateTime', case when o_orderkey % 2 = 0 then {iso('o_orderdate')} end,
             'effectivePeriod', named_struct('start', {iso('o_orderdate')}),
             'issued', case when o_orderstatus <> 'F' then {iso("o_orderdate + interval 2 day")} end,
@@ -173,10 +198,10 @@ class Tables:
                     'text', cast(null as string)))
                 when 'N' then array(named_struct('coding', {no_coding}, 'text', 'Laboratory')) end,
             'code', named_struct('coding', case when l_partkey % 3 = 0 then array({first}, {second}) else array({first}) end),
-            'subject', named_struct('reference', concat('Patient/C', o_custkey)),
+            'subject', named_struct('reference', concat('Patient/C', {PATIENT_KEY})),
             'encounter', case when l_linenumber <> 6 then
-                named_struct('reference', concat('Encounter/E', l_orderkey)) end,
-            'specimen', named_struct('reference', concat('Specimen/S', l_orderkey)),
+                named_struct('reference', concat('Encounter/E', {ENCOUNTER_KEY.format("l_orderkey")})) end,
+            'specimen', named_struct('reference', concat('Specimen/S', {SPECIMEN_KEY.format("l_orderkey")})),
             'effectiveDateTime', case when {timed} and l_linestatus = 'F' then {iso('l_shipdate')} end,
             'effectivePeriod', case when {timed} and l_linestatus <> 'F' then named_struct('start', {iso('l_shipdate')}) end,
             'issued', {iso("l_shipdate + interval 1 day")},
@@ -207,15 +232,14 @@ class Tables:
         other = _coding("'urn:lab:container'", "'TUBE'", "'Tube'")
         site = _coding(f"'{SNOMED_URI}'", "concat('P', o_orderkey % 1000)")
         members = f"""
-            'subject', named_struct('reference', concat('Patient/C', o_custkey)),
+            'subject', named_struct('reference', concat('Patient/C', {PATIENT_KEY})),
             'collection', named_struct(
                 'collectedDateTime', case when o_orderkey % 4 = 0 then {iso('o_orderdate')} end,
                 'collectedPeriod', named_struct('start', {iso('o_orderdate')}),
                 'bodySite', case when o_orderkey % 6 = 0 then named_struct('coding', array({site})) end),
             'type', named_struct('coding', array({other}, {kind})),
             'status', 'available'"""
-        orders = self.base("orders").filter("o_orderkey % 2 = 0")
-        return self._emit(orders, "Specimen", "concat('S', o_orderkey)", iso("o_orderdate"), members)
+        return self._emit(self.base("orders"), "Specimen", "concat('S', o_orderkey)", iso("o_orderdate"), members)
 
     def _practitioner(self) -> DataFrame:
         return self._emit(
@@ -263,27 +287,8 @@ class Tables:
                 "case when p_size % 7 = 0 then 'D' end as invalid_reason",
             )
 
-        # Concepts outside the two big vocabularies.
-        fixed = [
-            (8840, "milligram per deciliter", "UCUM", "mg/dL"),
-            (9840, "spelled in capitals", "UCUM", "MG/DL"),
-            (8848, "thousand per microliter", "UCUM", "10*9/L"),
-            (8507, "MALE", "Gender", "MALE"),
-            (8532, "FEMALE", "Gender", "FEMALE"),
-            (8527, "White", "Race", "2106-3"),
-            (38003563, "Hispanic or Latino", "Ethnicity", "2135-2"),
-            (9201, "visit class 1", "Visit", "p1"),
-            (9202, "visit class 2", "Visit", "p2"),
-            (9203, "visit class 3", "Visit", "p3"),
-            (9204, "visit class 4", "Visit", "p4"),
-            (4171756, "Less than", "Meas Value Operator", "op1"),
-            (4171754, "Less than or equal to", "Meas Value Operator", "op2"),
-            (4172704, "Greater than", "Meas Value Operator", "op3"),
-            (4171755, "Greater than or equal to", "Meas Value Operator", "op4"),
-            (4172703, "Equal", "Meas Value Operator", "op5"),
-        ]
         literals = self.spark.createDataFrame(
-            fixed, "concept_id long, concept_name string, vocabulary_id string, concept_code string"
+            FIXED_CONCEPTS, "concept_id long, concept_name string, vocabulary_id string, concept_code string"
         ).selectExpr(
             "concept_id",
             "concept_name",
@@ -344,6 +349,16 @@ class Tables:
             "cast(n_nationkey as bigint) as concept_class_concept_id",
         )
 
+    def _v_relationship(self) -> DataFrame:
+        return self.base("nation").selectExpr(
+            "concat('Relation ', n_nationkey) as relationship_id",
+            "n_name as relationship_name",
+            "cast(n_nationkey % 2 as string) as is_hierarchical",
+            "'0' as defines_ancestry",
+            "concat('Relation ', 24 - n_nationkey) as reverse_relationship_id",
+            "cast(n_nationkey as bigint) as relationship_concept_id",
+        )
+
     def _v_concept_synonym(self) -> DataFrame:
         return self.base("part").selectExpr(
             "1000000 + p_partkey as concept_id",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from contract.adapter import ENCOUNTER_KEY, FIXED_CONCEPTS, PATIENT_KEY, SPECIMEN_KEY
+
 
 def key(expr: str) -> str:
     """Signed 64-bit key: leading half of the MD5 digest."""
@@ -38,22 +40,21 @@ RELATIONS = {
             CASE WHEN c_custkey % 7 <> 0 THEN r_name END AS country,
             CASE c_custkey % 5 WHEN 0 THEN '2106-3' WHEN 1 THEN '2054-5' END AS race,
             CASE WHEN c_custkey % 6 = 0 THEN '2135-2' END AS ethnicity
-        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-        WHERE c_custkey % 50 <> 49""",
-    "encounters": """
-        SELECT o_orderkey, o_custkey, 'E' || o_orderkey AS id, o_orderdate AS started,
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "encounters": f"""
+        SELECT o_orderkey, {PATIENT_KEY} AS o_custkey, 'E' || o_orderkey AS id, o_orderdate AS started,
             CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 1 DAY END AS ended,
             'P' || substr(o_orderpriority, 1, 1) AS class_code,
             CASE WHEN o_orderkey % 4 = 0 THEN 'O' || (o_custkey % 25) END AS provider
-        FROM orders WHERE o_orderkey % 3 <> 2""",
-    "specimens": """
-        SELECT o_orderkey, o_custkey, 'S' || o_orderkey AS id, o_orderdate,
+        FROM orders""",
+    "specimens": f"""
+        SELECT o_orderkey, {PATIENT_KEY} AS o_custkey, 'S' || o_orderkey AS id, o_orderdate,
             CASE WHEN o_orderkey % 4 = 0 THEN o_orderdate END AS collected,
             'P' || (o_orderkey % 3000) AS type_code,
             CASE WHEN o_orderkey % 6 = 0 THEN 'P' || (o_orderkey % 1000) END AS site_code
-        FROM orders WHERE o_orderkey % 2 = 0""",
-    "reports": """
-        SELECT o_orderkey, o_custkey, letter || o_orderkey AS id, o_orderdate AS taken,
+        FROM orders""",
+    "reports": f"""
+        SELECT o_orderkey, {PATIENT_KEY} AS o_custkey, 'E' || ({ENCOUNTER_KEY.format("o_orderkey")}) AS encounter_ref, letter || o_orderkey AS id, o_orderdate AS taken,
             CASE WHEN o_orderstatus <> 'F' THEN o_orderdate + INTERVAL 2 DAY END AS issued,
             'P' || (o_orderkey % 100) AS code, 'Panel ' || (o_orderkey % 100) AS display
         FROM orders, (VALUES ('R'), ('Q')) AS letters(letter)
@@ -62,14 +63,14 @@ RELATIONS = {
         SELECT r.id AS report, 'L' || l.l_orderkey || '-' || l.l_linenumber AS oid
         FROM reports r JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) l
             ON l.l_orderkey = r.o_orderkey""",
-    "versions": """
-        SELECT 'L' || l_orderkey || '-' || l_linenumber AS oid, * FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "versions": f"""
+        SELECT 'L' || l_orderkey || '-' || l_linenumber AS oid, * REPLACE ({PATIENT_KEY} AS o_custkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "observations": f"""
         SELECT oid, o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_discount, l_tax,
             l_returnflag IN ('A', 'N') AS is_lab,
             'C' || o_custkey AS patient_ref,
-            CASE WHEN l_linenumber <> 6 THEN 'E' || l_orderkey END AS encounter_ref,
-            'S' || l_orderkey AS specimen_ref,
+            CASE WHEN l_linenumber <> 6 THEN 'E' || ({ENCOUNTER_KEY.format("l_orderkey")}) END AS encounter_ref,
+            'S' || ({SPECIMEN_KEY.format("l_orderkey")}) AS specimen_ref,
             CASE WHEN l_partkey % 5 <> 0 THEN 'P' || l_partkey END AS loinc_code,
             CASE WHEN l_partkey % 3 = 0 THEN 'P' || l_partkey END AS snomed_code,
             'P' || l_partkey AS source_code,
@@ -100,6 +101,13 @@ RELATIONS = {
             CASE WHEN p_size % 5 <> 0 THEN 'S' WHEN p_size % 10 = 5 THEN 'C' END AS standard,
             CASE WHEN p_size % 7 = 0 THEN 'D' END AS invalid
         FROM part, (VALUES ('LOINC', 1000000), ('SNOMED', 2000000)) AS v(vocab, base)""",
+    "all_concepts": f"""
+        SELECT concept_id, concept_name, CASE vocab WHEN 'LOINC' THEN 'Measurement' ELSE 'Observation' END AS domain_id,
+            vocab AS vocabulary_id, 'Lab Test' AS concept_class_id, standard AS standard_concept, code AS concept_code,
+            DATE '1970-01-01' AS valid_start_date, DATE '2099-12-31' AS valid_end_date, invalid AS invalid_reason
+        FROM concepts
+        UNION ALL SELECT id, name, 'Metadata', vocab, 'Term', 'S', code, DATE '1970-01-01', DATE '2099-12-31', NULL
+        FROM (VALUES {", ".join(map(str, FIXED_CONCEPTS))}) AS v(id, name, vocab, code)""",
     "maps": """
         SELECT 1000000 + p_partkey AS source, 1000000 + p_partkey + step AS target
         FROM part, (VALUES (1), (2)) AS s(step)
@@ -183,7 +191,7 @@ RELATIONS = {
     "visit_details": f"""
         SELECT {key('r.id')} AS visit_detail_id, p.person_id, r.*, e.visit_occurrence_id
         FROM reports r JOIN persons p ON p.c_custkey = r.o_custkey
-        LEFT JOIN visits e ON e.o_orderkey = r.o_orderkey""",
+        LEFT JOIN visits e ON e.id = r.encounter_ref""",
     "locations": f"""
         SELECT DISTINCT city, state, zip, country,
             coalesce(city, '') || '|' || coalesce(state, '') || '|' || coalesce(zip, '') || '|' || coalesce(country, '')

@@ -7,10 +7,14 @@ from assaylake.functions.scalars import surrogate_key
 from assaylake.plans.build import MARTS
 from assaylake.quality import checks, stages
 from assaylake.schemas.cdm import built_in_catalogue
+from assaylake.sources.seeds import TEST_ROWS, UNIT_ROWS
 from contract.adapter import Tables
 from contract.queries_models import RAW_COUNTS
 from contract.registry import query
 
+SEED_UNIT = f"(VALUES {', '.join(map(str, UNIT_ROWS))}) AS u(source_unit, target_concept_id)"
+SEED_TEST = f"(SELECT code FROM local_tests UNION ALL SELECT c FROM (VALUES {', '.join(str((r[0],))[:-2] + ')' for r in TEST_ROWS)}) AS t(c))"
+
 FACTS = {
     "omop_visit_occurrence": "visits",
     "omop_visit_detail": "visit_details",
@@ -44,9 +48,9 @@ def rows(check, entries):
     )
 
 
-UNIQUE = rows("unique", [(m, k, "0", src) for m, (src, k) in KEYED.items()])
+UNIQUE = rows("unique", [(m, k, "0", src) for m, (src, k) in KEYED.items()] + [("seed_unit", "source_unit", "0", SEED_UNIT)])
 query("check_unique", UNIQUE)(
-    lambda t: stages.unique_checks(t.ws).filter("table_name <> 'seed_unit'")
+    lambda t: stages.unique_checks(t.ws)
 )
 # Raw versions repeat their ids, so this one finds failures.
 query(
@@ -65,8 +69,10 @@ REQUIRED += [
     ("omop_measurement", "measurement_date", NO_DATE, "measurements"),
     ("omop_measurement", "measurement_type_concept_id", "0", "measurements"),
 ]
+REQUIRED += [("seed_unit", c, "0", SEED_UNIT) for c in ("source_unit", "target_concept_id")]
+REQUIRED += [("seed_test", c, "0", SEED_TEST) for c in ("source_code", "source_code_system", "target_concept_id")]
 query("check_not_null", rows("not_null", REQUIRED))(
-    lambda t: stages.not_null_checks(t.ws).filter("table_name not like 'seed%'")
+    lambda t: stages.not_null_checks(t.ws)
 )
 query("check_relationship", rows("relationship", [(m, "person_id", "0", s) for m, s in FACTS.items()]))(
     lambda t: stages.person_relationship_checks(t.ws)
@@ -105,24 +111,24 @@ query(
         t.ws, RESOURCE_TYPES, F.lit("2024-01-03 06:00:00").cast("timestamp")
     )
 )
+WRONG_ROWS = "SELECT 'Wrong', count(*), count(*), count(*), 0, 0 FROM encounters"
 query(
     "check_raw_contract",
-    """SELECT 'Specimen' AS resource_type, count(*) AS n_rows, 0 AS empty_id, 0 AS wrong_type,
-        CAST(0 AS BIGINT) AS empty_raw, CAST(0 AS BIGINT) AS empty_last_updated FROM specimens
-        UNION ALL SELECT 'Wrong', count(*), count(*), count(*), 0, 0 FROM encounters""",
+    f"""SELECT resource_type, row_count AS n_rows, 0 AS empty_id, 0 AS wrong_type, CAST(0 AS BIGINT) AS empty_raw,
+        CAST(0 AS BIGINT) AS empty_last_updated FROM ({RAW_COUNTS}) UNION ALL {WRONG_ROWS}""",
 )(lambda t: _contract(t))
 
 
 def _contract(t):
-    """Specimen rows as they are, and encounter rows without an id in a file named for another type."""
-    good = t.raw("Specimen")
+    """Rows of every type as they are, and encounter rows without an id in a file named for another type."""
     bad = t.raw("Encounter").withColumns(
         {"resource_id": F.lit(""), "_ingest_file_uri": F.lit("file:/landing/2024-01-02/Wrong-0000.ndjson")}
     )
-    by_file = stages.raw_contract(good.unionByName(bad))
+    for resource_type in RESOURCE_TYPES:
+        bad = bad.unionByName(t.raw(resource_type))
     kind = F.regexp_extract("file_uri", "/([A-Za-z]+)-", 1)
     counts = ("n_rows", "empty_id", "wrong_type", "empty_raw", "empty_last_updated")
-    return by_file.groupBy(kind.alias("resource_type")).agg(*[F.sum(c).alias(c) for c in counts])
+    return stages.raw_contract(bad).groupBy(kind.alias("resource_type")).agg(*[F.sum(c).alias(c) for c in counts])
 
 
 STAGE = (
@@ -178,31 +184,36 @@ def marts(t: Tables, *names: str):
     return {n.removeprefix("omop_"): t.ws.model(n) for n in names or MARTS}
 
 
+MART_SOURCES = {
+    "person": "persons",
+    "location": "locations",
+    "visit_occurrence": "visits",
+    "visit_detail": "visit_details",
+    "specimen": "person_specimens",
+    "measurement": "measurements",
+    "observation": "other_observations",
+    "fact_relationship": "(SELECT * FROM links UNION ALL SELECT * FROM links)",
+    "cdm_source": "(SELECT 1 FROM region LIMIT 1)",
+}
+# Required columns that hold nulls here.
+MISSING = {
+    ("cdm_source", "cdm_version_concept_id"): "1",
+    ("person", "year_of_birth"): NO_BIRTH,
+    ("measurement", "measurement_date"): NO_DATE,
+    ("observation", "observation_date"): "count(*) FILTER (observation_date IS NULL)",
+    ("visit_detail", "visit_occurrence_id"): "count(*) FILTER (visit_occurrence_id IS NULL)",
+}
 query(
     "dq_field_nullability",
     rows(
         "required_field",
         [
-            ("person", "person_id", "0", "persons"),
-            ("person", "gender_concept_id", "0", "persons"),
-            ("person", "year_of_birth", NO_BIRTH, "persons"),
-            ("person", "race_concept_id", "0", "persons"),
-            ("person", "ethnicity_concept_id", "0", "persons"),
-            ("visit_detail", "visit_detail_id", "0", "visit_details"),
-            ("visit_detail", "person_id", "0", "visit_details"),
-            ("visit_detail", "visit_detail_concept_id", "0", "visit_details"),
-            ("visit_detail", "visit_detail_start_date", "0", "visit_details"),
-            ("visit_detail", "visit_detail_end_date", "0", "visit_details"),
-            ("visit_detail", "visit_detail_type_concept_id", "0", "visit_details"),
-            (
-                "visit_detail",
-                "visit_occurrence_id",
-                "count(*) FILTER (visit_occurrence_id IS NULL)",
-                "visit_details",
-            ),
+            (mart, column, MISSING.get((mart, column), "0"), source)
+            for mart, source in MART_SOURCES.items()
+            for column in built_in_catalogue().required(mart)
         ],
     ),
-)(lambda t: checks.check_required_fields(marts(t, "omop_person", "omop_visit_detail"), built_in_catalogue()))
+)(lambda t: checks.check_required_fields(marts(t), built_in_catalogue()))
 
 CONCEPT_IDS = (
     "SELECT concept_id FROM concepts UNION ALL SELECT * FROM (VALUES (8840), (9840), (8848), (8507), (8532), (8527), "

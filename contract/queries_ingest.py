@@ -6,6 +6,7 @@ from assaylake.config import RESOURCE_TYPES
 from assaylake.functions import json as j
 from assaylake.plans.build import LAYOUT
 from assaylake.quality import checks
+from assaylake.schemas.raw import FILE_URI
 from assaylake.schemas.raw import RUN_DATE as RUN_DATE_COLUMN
 from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS, required_columns
 from assaylake.session import scratch_path
@@ -21,8 +22,6 @@ from contract.oracle import key
 from contract.queries_models import RAW_COUNTS
 from contract.registry import query
 
-SMALL_TYPES = ("Patient", "Specimen", "Practitioner")
-
 
 def land(t, resource_types):
     """Landing files of these types, one folder of parts per type; blank lines are mixed in."""
@@ -37,12 +36,26 @@ def land(t, resource_types):
 
 query(
     "ndjson_scan",
-    "SELECT oid AS resource_id, 'Observation' AS resource_type, l_shipdate AS last_updated FROM versions",
-)(
-    lambda t: ndjson_scan(t.spark, land(t, ["Observation"]), RUN_DATE, "Observation").select(
-        "resource_id", "resource_type", "last_updated"
+    """SELECT oid AS resource_id, 'Observation' AS resource_type, l_shipdate AS last_updated, DATE '2024-01-02' AS run_date,
+        true AS own_file, oid AS raw_id, 'Practitioner/D' || l_suppkey AS raw_performer, l_discount AS raw_low FROM versions""",
+)(lambda t: _scanned(t))
+
+
+def _scanned(t):
+    """Every column of the raw table; the document by members of different kinds."""
+    rows = ndjson_scan(t.spark, land(t, ["Observation"]), RUN_DATE, "Observation")
+    return rows.select(
+        "resource_id",
+        "resource_type",
+        "last_updated",
+        F.col(RUN_DATE_COLUMN).alias("run_date"),
+        F.col(FILE_URI).rlike(f"/{RUN_DATE}/Observation-0000.ndjson/part-").alias("own_file"),
+        j.text(j.json_path(F.col("raw"), "id")).alias("raw_id"),
+        j.text(j.json_path(F.col("raw"), "performer[0].reference")).alias("raw_performer"),
+        j.number(j.json_path(F.col("raw"), "referenceRange[0].low.value")).alias("raw_low"),
     )
-)
+
+
 query(
     "ndjson_quarantine",
     "SELECT count(*) AS good, (SELECT count(*) FROM customer WHERE c_custkey % 3 = 0) AS bad FROM specimens",
@@ -78,12 +91,14 @@ query(
 )
 query(
     "landing_discover",
-    """SELECT 'Patient' AS resource_type, count(*) > 0 AS filled FROM customer
-        UNION ALL SELECT 'Specimen', count(*) > 0 FROM orders UNION ALL SELECT 'Practitioner', count(*) > 0 FROM supplier""",
+    f"SELECT resource_type, true AS filled, true AS well_named FROM ({RAW_COUNTS})",
 )(
-    lambda t: landing_discover(t.spark, land(t, SMALL_TYPES), RUN_DATE)
+    lambda t: landing_discover(t.spark, land(t, RESOURCE_TYPES), RUN_DATE)
     .groupBy("resource_type")
-    .agg((F.sum("length") > 0).alias("filled"))
+    .agg(
+        (F.sum("length") > 0).alias("filled"),
+        F.bool_and(F.expr(f"contains(path, concat('/{RUN_DATE}/', resource_type, '-0000.ndjson'))")).alias("well_named"),
+    )
 )
 query(
     "raw_sink",
@@ -102,7 +117,7 @@ def _raw_sink(t):
     )
 
 
-ALL_COUNTS = f"SELECT resource_type, row_count - CASE WHEN resource_type = 'Patient' THEN (SELECT count(*) FROM customer WHERE c_custkey % 50 <> 49 AND c_custkey % 13 = 0) ELSE 0 END AS row_count FROM ({RAW_COUNTS})"
+ALL_COUNTS = f"SELECT resource_type, row_count - CASE WHEN resource_type = 'Patient' THEN (SELECT count(*) FROM customer WHERE c_custkey % 13 = 0) ELSE 0 END AS row_count FROM ({RAW_COUNTS})"
 query("raw_reload_idempotent", ALL_COUNTS)(lambda t: _loaded_twice(t))
 
 
@@ -128,15 +143,13 @@ def _evolved(t):
     return raw_read(t.spark, path).select("resource_id", "sender")
 
 
-query("raw_load_report", f"SELECT * FROM ({ALL_COUNTS}) WHERE resource_type IN ('Patient', 'Practitioner', 'Specimen')")(
-    lambda t: _report(t)
-)
+query("raw_load_report", ALL_COUNTS)(lambda t: _report(t))
 
 
 def _report(t):
     root = scratch_path(t.spark, "raw")
-    load_run(t.spark, land(t, SMALL_TYPES), RUN_DATE, root)
-    return load_report(t.spark, root, list(SMALL_TYPES), RUN_DATE)
+    load_run(t.spark, land(t, RESOURCE_TYPES), RUN_DATE, root)
+    return load_report(t.spark, root, list(RESOURCE_TYPES), RUN_DATE)
 
 
 # ---- vocabulary --------------------------------------------------------------------------------
@@ -153,32 +166,25 @@ def write_vocabulary(t, names, compact_dates=True):
     return root
 
 
-query(
-    "vocab_scan",
-    """SELECT concept_id, concept_name, vocab AS vocabulary_id, standard AS standard_concept, code AS concept_code,
-        DATE '1970-01-01' AS valid_start_date, DATE '2099-12-31' AS valid_end_date, invalid AS invalid_reason
-        FROM concepts""",
-)(
+query("vocab_scan", "SELECT * FROM all_concepts")(
     lambda t: vocabulary_scan(t.spark, "concept", f"{write_vocabulary(t, ['concept'])}/concept.csv")
-    .filter("vocabulary_id in ('LOINC', 'SNOMED')")
-    .drop("domain_id", "concept_class_id")
 )
 BUNDLE = """
     SELECT 'concept' AS table_name, 2 * count(*) + 16 AS row_count FROM part
     UNION ALL SELECT 'concept_relationship', count(*) + count(*) FILTER (p_partkey % 13 = 0) FROM part WHERE p_size % 5 = 0
     UNION ALL SELECT 'concept_ancestor', count(*) FROM part UNION ALL SELECT 'concept_synonym', count(*) FROM part
     UNION ALL SELECT 'concept_class', count(*) FROM nation UNION ALL SELECT 'domain', count(*) FROM region
+    UNION ALL SELECT 'relationship', count(*) FROM nation
     UNION ALL SELECT 'drug_strength', count(*) FROM part UNION ALL SELECT 'vocabulary', count(*) FROM region"""
-BUNDLED = [name for name in VOCABULARY_SCHEMAS if name != "relationship"]
 query("vocab_schemas", f"SELECT table_name, row_count AS total, CAST(0 AS BIGINT) AS failed FROM ({BUNDLE})")(
     lambda t: _schema_checks(t)
 )
 
 
 def _schema_checks(t):
-    root = write_vocabulary(t, BUNDLED)
+    root = write_vocabulary(t, VOCABULARY_SCHEMAS)
     per_column = checks.union_all(
-        checks.check_not_null(vocabulary_scan(t.spark, n, f"{root}/{n}.csv"), n, required_columns(n)) for n in BUNDLED
+        checks.check_not_null(vocabulary_scan(t.spark, n, f"{root}/{n}.csv"), n, required_columns(n)) for n in VOCABULARY_SCHEMAS
     )
     return per_column.groupBy("table_name").agg(F.max("total").alias("total"), F.sum("failed").alias("failed"))
 
@@ -195,26 +201,38 @@ query("vocab_bundle_load", BUNDLE)(lambda t: _bundle(t))
 
 
 def _bundle(t):
-    root = write_vocabulary(t, BUNDLED)
-    stored, skipped = load_bundle(
-        t.spark, lambda n: f"{root}/{n}.csv" if n in BUNDLED else None, scratch_path(t.spark, "vocabulary")
-    )
-    assert skipped == ["relationship"]
+    root = write_vocabulary(t, VOCABULARY_SCHEMAS)
+    stored, skipped = load_bundle(t.spark, lambda n: f"{root}/{n}.csv", scratch_path(t.spark, "vocabulary"))
+    assert not skipped
     return bundle_counts(stored)
 
 
-query(
-    "seed_scan",
-    """SELECT code AS source_code, target AS target_concept_id, coalesce(source, 0) AS source_concept_id FROM local_tests""",
-)(lambda t: _seed(t))
+_SEEDS = f"""
+    SELECT 'test' AS seed, code AS source, 'URN:lab:local' AS system, CAST(target AS BIGINT) AS target_concept_id,
+        CAST(coalesce(source, 0) AS BIGINT) AS source_concept_id, p_name AS note
+    FROM local_tests JOIN part ON code = 'P' || p_partkey
+    UNION ALL SELECT 'test', * FROM (VALUES {", ".join(map(str, seeds.TEST_ROWS))}) AS v(c, s, t, z, d)
+    UNION ALL SELECT 'unit', unit, NULL, target, NULL, NULL FROM (VALUES {", ".join(map(str, seeds.UNIT_ROWS))}) AS u(unit, target)"""
+query("seed_scan", _SEEDS)(lambda t: _seed(t))
 
 
 def _seed(t):
+    """Both seeds, written as a site keeps them and read back whole."""
     path = scratch_path(t.spark, "seed")
-    t.test_seed().write.csv(path, header=True)
-    rows = seeds.seed_scan(t.spark, path, seeds.TEST_SEED)
-    local = rows.filter(F.lower("source_code_system") == "urn:lab:local")
-    return local.select("source_code", "target_concept_id", "source_concept_id")
+    t.test_seed().write.csv(f"{path}/test", header=True)
+    seeds.default_unit_seed(t.spark).write.csv(f"{path}/unit", header=True)
+    tests = seeds.seed_scan(t.spark, f"{path}/test", seeds.TEST_SEED).select(
+        F.lit("test").alias("seed"),
+        F.col("source_code").alias("source"),
+        F.col("source_code_system").alias("system"),
+        "target_concept_id",
+        "source_concept_id",
+        F.col("target_description").alias("note"),
+    )
+    units = seeds.seed_scan(t.spark, f"{path}/unit", seeds.UNIT_SEED).select(
+        F.lit("unit").alias("seed"), F.col("source_unit").alias("source"), "target_concept_id", F.col("notes").alias("note")
+    )
+    return tests.unionByName(units, allowMissingColumns=True)
 
 
 # ---- tables ------------------------------------------------------------------------------------

@@ -36,7 +36,7 @@ model(
 # Arrays are compared as text, joined in order.
 query(
     "stg_diagnostic_report",
-    """SELECT r.id AS fhir_report_id, 'C' || o_custkey AS patient_ref, 'E' || o_orderkey AS encounter_ref,
+    """SELECT r.id AS fhir_report_id, 'C' || o_custkey AS patient_ref, r.encounter_ref,
         taken AS effective_datetime, issued AS issued_datetime, code AS report_loinc_code, display AS report_display,
         coalesce((SELECT string_agg(oid, ',' ORDER BY oid) FROM children c WHERE c.report = r.id), '')
             AS child_observation_ids,
@@ -220,7 +220,7 @@ query("omop_validation_summary", SUMMARY)(lambda t: analyses.omop_validation_sum
 
 RAW_COUNTS = """
     SELECT 'Patient' AS resource_type, count(*) + count(*) FILTER (c_custkey % 13 = 0) AS row_count,
-        DATE '2024-01-02' AS latest_ingest_date FROM customer WHERE c_custkey % 50 <> 49
+        DATE '2024-01-02' AS latest_ingest_date FROM customer
     UNION ALL SELECT 'Encounter', count(*), DATE '2024-01-02' FROM encounters
     UNION ALL SELECT 'DiagnosticReport', count(*), DATE '2024-01-02' FROM reports
     UNION ALL SELECT 'Observation', count(*), DATE '2024-01-02' FROM lineitem
