@@ -9,44 +9,49 @@ the first are deleted. A longer repetition is a chain of such runs and is delete
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import SPACES, stored
+from assaylake.llm.common import SPACES, let, stored
 
 # Consecutive lines with words that must agree before anything is deleted.
 RUN_LINES = 3
 
 
-def _analysed(docs: DataFrame, run_lines: int, extra: list[str]) -> DataFrame:
-    """Per row its lines, the lines with words (raw index and two hashes), and the fingerprints with their runs."""
-    rows = docs.select("doc_id", "text", *extra, F.xxhash64("text").alias("version"))
-    rows = rows.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-    trimmed = F.transform("lines", lambda line, i: F.struct(i.alias("raw"), F.btrim(line, F.lit(SPACES)).alias("s")))
-    rows = rows.withColumn("content", F.filter(trimmed, lambda line: line["s"] != ""))
-    return rows.withColumn("raw", F.transform("content", lambda line: line["raw"])).withColumn(
-        "h", F.transform("content", lambda x: F.struct(F.xxhash64(x["s"]).alias("a"), F.xxhash64(F.lit(1), x["s"]).alias("b")))
-    )
+def _content(lines: Column) -> Column:
+    """The lines with words: raw index, and the text without white space around it."""
+    trimmed = F.transform(lines, lambda line, i: F.struct(i.alias("raw"), F.btrim(line, F.lit(SPACES)).alias("s")))
+    return F.filter(trimmed, lambda line: line["s"] != "")
 
 
-def _occurrences(docs: DataFrame, run_lines: int) -> DataFrame:
-    """(doc_id, version, fingerprint, runs): one row per selected fingerprint, runs holding it as their minimum."""
-    rows = _analysed(docs, run_lines, []).select("doc_id", "version", "h").filter(F.size("h") >= run_lines)
+def _lines(text: str) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n")
+
+
+def _runs(h: Column, run_lines: int) -> Column:
+    """All runs of ``run_lines`` lines: the fingerprint each selects, its start, and a hash of its content."""
 
     def run(start):
-        members = [F.get("h", start + F.lit(i)) for i in range(run_lines)]
-        least = F.array_min(F.array(*[F.struct(m["a"].alias("h"), (-(start + F.lit(i))).alias("at")) for i, m in enumerate(members)]))
+        members = [F.get(h, start + F.lit(i)) for i in range(run_lines)]
+        least = F.array_min(F.array(*[F.struct(m["a"].alias("h"), F.lit(-i).alias("at")) for i, m in enumerate(members)]))
         return F.struct(
-            least.alias("pick"),
+            least["h"].alias("fingerprint"),
             start.alias("start"),
             F.xxhash64(*[m["a"] for m in members]).alias("a"),
             F.xxhash64(F.lit(1), *[m["b"] for m in members]).alias("b"),
         )
 
-    runs = F.transform(F.sequence(F.lit(0), F.size("h") - run_lines), run)
-    rows = rows.select("doc_id", "version", runs.alias("runs")).select("doc_id", "version", F.explode("runs").alias("run"))
-    # Consecutive runs that picked the same line stay together: one row per document and fingerprint position.
-    return rows.select("doc_id", "version", F.col("run.pick.h").alias("fingerprint"), F.col("run.start"), "run.a", "run.b")
+    return F.when(F.size(h) >= run_lines, F.transform(F.sequence(F.lit(0), F.size(h) - run_lines), run))
+
+
+def _occurrences(docs: DataFrame, run_lines: int) -> DataFrame:
+    """(doc_id, version, fingerprint, start, a, b): every run, with the fingerprint that it extends to both sides."""
+    hashes = F.transform(
+        _content(_lines("text")), lambda x: F.struct(F.xxhash64(x["s"]).alias("a"), F.xxhash64(F.lit(1), x["s"]).alias("b"))
+    )
+    runs = let(hashes, lambda h: _runs(h, run_lines))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("version"), F.explode(runs).alias("run"))
+    return rows.select("doc_id", "version", "run.*")
 
 
 def repeated_runs(docs: DataFrame, run_lines: int = RUN_LINES) -> DataFrame:
@@ -93,26 +98,35 @@ def deduplicated(docs: DataFrame, run_lines: int = RUN_LINES) -> DataFrame:
 def _cleaned(docs: DataFrame, run_lines: int) -> DataFrame:
     """The columns of ``docs`` (doc_id, text and at most _rest) with the text cleaned, n_lines and n_removed."""
     extra = [c for c in docs.columns if c == "_rest"]
-    rows = _analysed(docs, run_lines, extra).select("doc_id", "version", "text", "lines", "raw", *extra)
     gone = repeated_runs(docs, run_lines).select(F.xxhash64("doc_id").alias("key"), "version", "starts")
-    joined = rows.withColumn("key", F.xxhash64("doc_id")).join(gone, ["key", "version"], "left")
+    rows = docs.select("doc_id", "text", *extra, F.xxhash64("doc_id").alias("key"), F.xxhash64("text").alias("version"))
+    joined = rows.join(gone, ["key", "version"], "left")
+    starts = F.col("starts")
     n_gone = F.size("starts")
 
-    def gap(j):
-        begin = F.when(j == 0, 0).otherwise(F.get("raw", F.get("starts", j - 1) + (run_lines - 1)) + 1)
-        end = F.when(j == n_gone, F.size("lines")).otherwise(F.get("raw", F.get("starts", j)))
-        return F.slice("lines", begin + 1, F.greatest(F.lit(0), end - begin))
+    def kept(lines, raw):
+        def gap(j):
+            begin = F.when(j == 0, 0).otherwise(F.get(raw, F.get(starts, j - 1) + (run_lines - 1)) + 1)
+            end = F.when(j == n_gone, F.size(lines)).otherwise(F.get(raw, F.get(starts, j)))
+            return F.slice(lines, begin + 1, F.greatest(F.lit(0), end - begin))
 
-    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n_gone), gap)), "\n")
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n_gone), gap)), "\n")
 
     def fresh(start, j):  # lines that this run adds to those deleted before it
-        return F.when(j == 0, run_lines).otherwise(F.least(F.lit(run_lines), start - F.get("starts", j - 1)))
+        return F.when(j == 0, run_lines).otherwise(F.least(F.lit(run_lines), start - F.get(starts, j - 1)))
+
+    def answer(lines):
+        raw = F.transform(_content(lines), lambda x: x["raw"])
+        return let(
+            raw, lambda r: F.struct(F.size(r).cast("long").alias("n_lines"), F.when(starts.isNotNull(), kept(lines, r)).alias("kept"))
+        )
 
-    removed = F.aggregate(F.transform("starts", fresh), F.lit(0), lambda total, x: total + x)
-    return joined.select(
+    removed = F.aggregate(F.transform(starts, fresh), F.lit(0), lambda total, x: total + x)
+    answered = joined.select("doc_id", "text", *extra, "starts", let(_lines("text"), answer).alias("answer"), removed.alias("removed"))
+    return answered.select(
         "doc_id",
-        F.when(F.col("starts").isNull(), F.col("text")).otherwise(kept).alias("text"),
+        F.when(F.col("starts").isNull(), F.col("text")).otherwise(F.col("answer.kept")).alias("text"),
         *extra,
-        F.size("raw").cast("long").alias("n_lines"),
-        F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
+        F.col("answer.n_lines").alias("n_lines"),
+        F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
     )
