@@ -65,10 +65,8 @@ class EngineConfig:
     broadcast_row_limit: int = 2_000_000
     salt_buckets: int = 32
 
-    # Incremental runs may skip raw partitions loaded well before the high-water mark: a resource cannot
-    # be loaded before it was updated. None reads every partition, for sites that reload old run dates
-    # with newer content; a number of days allows for time zones and clock differences.
-    run_date_slack_days: int | None = None
+    # Most partitions a shuffle may start with; a cluster that handles more small blocks may raise it.
+    most_shuffle_partitions: int = 200_000
 
     cdm_source: CdmSourceInfo = field(default_factory=CdmSourceInfo)
 

@@ -40,8 +40,20 @@ def joined_key(*parts: Column) -> Column:
 
 
 def decimal_text(value: Column) -> Column:
-    """A decimal without trailing zeros."""
-    return F.regexp_replace(value.cast("string"), r"\.?0+$", "")
+    """A decimal of nine places as plain digits without trailing zeros, alike under all session settings."""
+    size = F.abs(value)
+    whole = F.floor(size)
+    rest = size % F.lit(1).cast("decimal(1,0)")  # keeps all nine places, which a difference would not
+    parts = (rest * F.lit(1_000_000_000).cast("decimal(10,0)")).cast("bigint").cast("string")
+    fraction = F.rtrim(F.lpad(parts, 9, "0"), F.lit("0"))
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.concat(sign, whole.cast("decimal(38,0)").cast("string"), F.when(fraction == "", "").otherwise(F.concat(F.lit("."), fraction)))
+
+
+def required_cast(value: Column, kind: str, what: str) -> Column:
+    """The cast value; text that cannot be cast fails the job under all session settings, NULL stays NULL."""
+    failure = F.raise_error(F.concat(F.lit(f"bad {what}: "), value)).cast(kind)
+    return F.when(value.isNotNull(), F.coalesce(value.try_cast(kind), failure))
 
 
 def comparator_code(symbol: Column) -> Column:

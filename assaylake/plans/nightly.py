@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import contextlib
+import datetime
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.config import REQUIRED_RESOURCE_TYPES, EngineConfig
-from assaylake.plans.build import MARTS, adopt_stored, build_all, refresh_measurement, store_model
+from assaylake.config import REQUIRED_RESOURCE_TYPES, REQUIRED_VOCABULARY_TABLES, RESOURCE_TYPES, EngineConfig
+from assaylake.functions.scalars import surrogate_key
+from assaylake.plans.build import (
+    MARTS,
+    STORED_LOOKUPS,
+    adopt_stored,
+    build_all,
+    refresh_measurement,
+    refresh_observation_versions,
+    store_model,
+    store_observation_versions,
+)
 from assaylake.quality import checks, stages
 from assaylake.schemas.cdm import Catalogue, built_in_catalogue
-from assaylake.session import size_shuffles, stored_bytes
+from assaylake.schemas.raw import RUN_DATE
+from assaylake.session import is_stored, sized_shuffles, stored_bytes
 from assaylake.sinks.raw import load_run
 from assaylake.sinks.reports import report_sink
 from assaylake.workspace import Workspace
@@ -22,29 +37,42 @@ BEFORE_MEASUREMENT = ("omop_location", "omop_person", "omop_visit_occurrence", "
 AFTER_MEASUREMENT = ("omop_observation", "omop_fact_relationship", "omop_cdm_source")
 
 
-def build(ws: Workspace, root: str, full_refresh: bool = False) -> None:
-    """All CDM tables; measurement incrementally unless a full refresh is asked for."""
+def build(ws: Workspace, root: str, full_refresh: bool = False, days: Sequence[str] | None = None) -> None:
+    """All CDM tables; measurement and the staged observations incrementally, unless a full refresh is asked for.
+
+    ``days`` are the run dates loaded since the last build: only their raw observations are read. Without them the
+    staged observations are built from all raw ones.
+    Where no measurement table was ever stored, the first run builds everything.
+    """
     staging, cdm = f"{root}/staging", f"{root}/cdm"
-    size_shuffles(ws.spark, stored_bytes(ws.spark, f"{root}/raw"))
-    if full_refresh:
-        build_all(ws, staging, cdm)
-        return
-    # The stored measurement is the upsert target; everything else is rebuilt.
-    target = ws.model("omop_measurement").schema
-    stored = ws.spark.read.schema(target).parquet(f"{cdm}/measurement")
-    store_model(ws, "report_child_obs", staging)
-    for name in BEFORE_MEASUREMENT:
-        store_model(ws, name, cdm)
-    ws.adopt("omop_measurement", stored)
-    refresh_measurement(ws, cdm)
-    for name in AFTER_MEASUREMENT:
-        store_model(ws, name, cdm)
+    with sized_shuffles(ws.spark, stored_bytes(ws.spark, f"{root}/raw"), ws.config.most_shuffle_partitions):
+        if full_refresh or not (is_stored(ws.spark, f"{cdm}/measurement") and is_stored(ws.spark, f"{staging}/observation_versions")):
+            build_all(ws, staging, cdm)
+            return
+        # The stored measurement is the upsert target.
+        target = ws.model("omop_measurement").schema
+        stored = ws.spark.read.schema(target).parquet(f"{cdm}/measurement")
+        changed = None
+        if days is None:
+            store_observation_versions(ws, staging)
+        else:
+            versions = refresh_observation_versions(ws, staging, days)
+            changed = versions.filter(F.col(RUN_DATE).isin([datetime.date.fromisoformat(day) for day in days]))
+        for name in STORED_LOOKUPS:
+            store_model(ws, name, staging)
+        for name in BEFORE_MEASUREMENT:
+            store_model(ws, name, cdm)
+        ws.adopt("omop_measurement", stored)
+        refresh_measurement(ws, cdm, changed=changed)
+        for name in AFTER_MEASUREMENT:
+            store_model(ws, name, cdm)
 
 
 def check_all(ws: Workspace, catalogue: Catalogue | None = None) -> DataFrame:
     """Every generic check over the workspace's models: check, table_name, column_name, failed, total."""
     catalogue = catalogue or built_in_catalogue()
     tables = {name.removeprefix("omop_"): ws.model(name) for name in MARTS}
+    vocabulary = {name: ws.vocabulary(name) for name in ("concept", "vocabulary", "domain", "concept_class", "concept_relationship", "relationship")}
     parts = [
         stages.unique_checks(ws),
         stages.not_null_checks(ws),
@@ -52,8 +80,12 @@ def check_all(ws: Workspace, catalogue: Catalogue | None = None) -> DataFrame:
         stages.seed_combination_check(ws),
         checks.check_required_fields(tables, catalogue),
         checks.check_primary_keys(tables, catalogue),
-        checks.check_foreign_keys(tables, catalogue),
-        checks.check_concepts_valid(tables, ws.vocabulary("concept"), catalogue),
+        checks.check_foreign_keys(tables | vocabulary, catalogue),
+        checks.check_concepts_valid(tables, vocabulary["concept"], catalogue),
+        checks.check_lost_rows(
+            ws.model("stg_observation_lab"), "stg_observation_lab", surrogate_key(F.col("patient_ref")), ws.model("omop_person")
+        ),
+        contract_failures(ws),
     ]
     for name, key in stages.STAGING_KEYS.items():
         parts.append(checks.check_key_collisions(ws.model(name), name, key))
@@ -62,10 +94,48 @@ def check_all(ws: Workspace, catalogue: Catalogue | None = None) -> DataFrame:
     return checks.union_all(parts)
 
 
+def contract_failures(ws: Workspace) -> DataFrame:
+    """Rows that break the raw contract, in the form of the generic checks."""
+    parts = []
+    for name in RESOURCE_TYPES:
+        by_file = stages.raw_contract(ws.raw(name))
+        kinds = ("empty_id", "wrong_type", "empty_raw", "empty_last_updated")
+        counts = by_file.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in kinds])
+        for kind in kinds:
+            row = (F.lit("raw_contract"), F.lit(name), F.lit(kind), F.col(kind).cast("long"), F.col("total").cast("long"))
+            parts.append(counts.select(*[c.alias(n) for c, n in zip(row, ("check", "table_name", "column_name", "failed", "total"))]))
+    return checks.union_all(parts)
+
+
+# Checks whose failures are counts to look at; any other failure fails the run.
+REPORTED_ONLY = ("lost_at_person", "concept_valid", "raw_contract")
+
+
+def failing(results: DataFrame) -> DataFrame:
+    """Failures that must stop a chain."""
+    return results.filter((F.col("failed") > 0) & ~F.col("check").isin(*REPORTED_ONLY))
+
+
+def record_stage(ws: Workspace, root: str, stage: str, ok: bool) -> None:
+    """Store how a stage of the chain ended; the last entry of a stage counts."""
+    row = ws.spark.range(1).select(F.lit(stage).alias("stage"), F.lit(ok).alias("ok"), F.current_timestamp().alias("at"))
+    row.coalesce(1).write.mode("append").json(f"{root}/stages")
+
+
+def completed_stages(ws: Workspace, root: str) -> list[str]:
+    """Stages whose last stored entry is a success."""
+    if not is_stored(ws.spark, f"{root}/stages"):
+        return []
+    runs = ws.spark.read.schema("stage string, ok boolean, at timestamp").json(f"{root}/stages")
+    last = runs.groupBy("stage").agg(F.max_by("ok", "at").alias("ok"))
+    return sorted(r["stage"] for r in last.filter("ok").collect())  # a handful of stages
+
+
 def verdicts(ws: Workspace, completed: list[str]) -> DataFrame:
     """The four exit criteria of a first run."""
     named = [
         stages.raw_tables({name: ws.raw(name) for name in REQUIRED_RESOURCE_TYPES}),
+        stages.vocabulary_tables({name: ws.vocabulary(name) for name in REQUIRED_VOCABULARY_TABLES}),
         stages.exit_counts(ws),
         stages.measurement_gaps(ws),
         stages.observation_gaps(ws),
@@ -80,14 +150,32 @@ def run_day(
     run_date: str,
     config: EngineConfig | None = None,
     full_refresh: bool = False,
+    **seeds: DataFrame,
 ) -> DataFrame:
-    """Load, build, check and report one day; returns the stored check results of that day."""
-    load_run(spark, landing, run_date, f"{root}/raw")
-    ws = Workspace.at(spark, root, config)
-    build(ws, root, full_refresh)
-    stored = Workspace.at(spark, root, config)
+    """Load, build, check and report one day; returns the stored check results of that day.
+
+    ``seeds`` are the site's mappings, ``test`` and ``unit``. Every stage's end is stored.
+    """
+    ws = Workspace.at(spark, root, config, **seeds)
+    with recorded(ws, root, "parse"):
+        load_run(spark, landing, run_date, f"{root}/raw")
+    with recorded(ws, root, "build"):
+        build(ws, root, full_refresh, [run_date])
+    stored = Workspace.at(spark, root, config, **seeds)
     adopt_stored(stored, f"{root}/staging", f"{root}/cdm")
     report_sink(check_all(stored), f"{root}/quality", run_date)
     schema = "check string, table_name string, column_name string, failed long, total long, run_date date"
     results = spark.read.schema(schema).json(f"{root}/quality")
-    return results.filter(F.col("run_date") == F.lit(run_date).cast("date"))
+    results = results.filter(F.col("run_date") == F.lit(run_date).cast("date"))
+    record_stage(ws, root, "test", failing(results).isEmpty())
+    return results
+
+
+@contextlib.contextmanager
+def recorded(ws: Workspace, root: str, stage: str):
+    try:
+        yield
+    except BaseException:
+        record_stage(ws, root, stage, False)
+        raise
+    record_stage(ws, root, stage, True)

@@ -6,7 +6,8 @@ instead of whole documents, and columns a consumer does not read are neither ext
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from assaylake.config import ETHNICITY_URL, LOINC_URI, RACE_URL, SNOMED_URI
 from assaylake.functions import json as j
 from assaylake.functions.scalars import reference_id
 from assaylake.operators.versions import VERSION_ORDER, latest_version, updated_since
-from assaylake.schemas.raw import RUN_DATE
+from assaylake.schemas.raw import FILE_URI, RUN_DATE
 from assaylake.workspace import Workspace
 
 _REFERENCE = "struct<reference:variant>"
@@ -73,13 +74,17 @@ OBSERVATION = {
 }
 
 
+# Where a version comes from: kept in the stored relation, to bring it up to date by run date.
+ORIGIN = (RUN_DATE, FILE_URI)
+
+
 def _staged(
-    source: DataFrame, members: Mapping[str, str], id_name: str, columns: Mapping[str, Column]
+    source: DataFrame, members: Mapping[str, str], id_name: str, columns: Mapping[str, Column], origin: bool = False
 ) -> DataFrame:
     shaped = source.select("resource_id", *VERSION_ORDER, *j.shape(F.col("raw"), members))
     typed = shaped.select("resource_id", *VERSION_ORDER, *[c.alias(n) for n, c in columns.items()])
     return latest_version(typed).select(
-        F.col("resource_id").alias(id_name), *columns, F.col("last_updated").alias("_loaded_at")
+        F.col("resource_id").alias(id_name), *columns, F.col("last_updated").alias("_loaded_at"), *(ORIGIN if origin else ())
     )
 
 
@@ -172,16 +177,19 @@ def stg_diagnostic_report(ws: Workspace) -> DataFrame:
     )
 
 
-def observation_versions(ws: Workspace, since: Column | None = None) -> DataFrame:
+def observation_versions(
+    ws: Workspace, since: Column | None = None, days: Sequence[str] | None = None, origin: bool = False
+) -> DataFrame:
     """Newest version of every observation with the columns of both halves and ``is_lab``.
 
+    ``days`` reads these run dates only, which prunes to their partitions.
+
     The split by ``is_lab`` comes after the newest version is known: an older laboratory version
     must not survive a newer one of another category.
     """
     raw = updated_since(ws.raw("Observation"), since)
-    slack = ws.config.run_date_slack_days
-    if since is not None and slack is not None:
-        raw = raw.filter(F.col(RUN_DATE) >= F.date_sub(F.to_date(since), slack))
+    if days is not None:
+        raw = raw.filter(F.col(RUN_DATE).isin([datetime.date.fromisoformat(day) for day in days]))
     codings = F.col("code")["coding"]
     first_coding = j.first(codings)
     quantity = F.col("valueQuantity")
@@ -218,6 +226,7 @@ def observation_versions(ws: Workspace, since: Column | None = None) -> DataFram
             "performer_ref": reference_id(j.strict_text(j.first(F.col("performer"))["reference"])),
             "status": j.text(F.col("status")),
         },
+        origin,
     )
 
 

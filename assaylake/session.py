@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 # Runtime settings the engine relies on; all may be set on a live session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -32,8 +35,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 # Shuffle data one task should handle: small enough to sort in executor memory without much spilling.
 BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
-# Beyond this, the number of map-by-reduce blocks costs more than letting larger tasks spill.
-MOST_SHUFFLE_TASKS = 32_768
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -42,19 +44,38 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Let shuffles start with enough partitions for this much input; adaptive execution merges small ones."""
-    wanted = min(math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK), MOST_SHUFFLE_TASKS)
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at this path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int, most: int) -> Iterator[int]:
+    """Within the block, shuffles start with enough partitions for this much input, at most ``most``.
+
+    Adaptive execution merges small ones. The session's own setting is restored.
+    """
+    wanted = min(math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK), most)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
-    return partitions
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    try:
+        yield partitions
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset and Spark is local."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="assaylake-"))
         root = context.getCheckpointDir()
     return root.rstrip("/")
@@ -63,3 +84,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written yet under the shared folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch path that no later plan reads."""
+    if not path.startswith(f"{scratch_root(spark)}/"):
+        raise ValueError(f"{path} is not in the scratch folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.schemas.raw import RAW, RUN_DATE
+from assaylake.schemas.raw import FILE_URI, RAW, RUN_DATE
+from assaylake.session import remove_scratch, scratch_path
 from assaylake.sinks.tables import clear_partition
 from assaylake.sources.ndjson import landing_discover, ndjson_scan
 
@@ -32,6 +34,29 @@ def raw_replace(rows: DataFrame, path: str, run_date: str) -> None:
     _by_day(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def raw_merge_files(rows: DataFrame, path: str) -> None:
+    """Make the table hold exactly these rows of the files they come from; rows of other files stay.
+
+    Only the run dates of these files are rewritten, from a copy of the rows in the shared folder.
+    """
+    spark = rows.sparkSession
+    staging = scratch_path(spark, "raw-files")
+    rows.write.partitionBy(RUN_DATE).parquet(staging)
+    new = spark.read.schema(rows.schema).parquet(staging)
+    days = [r[0] for r in new.select(RUN_DATE).distinct().collect()]  # one per landed day
+    if days:
+        try:
+            old = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(RUN_DATE).isin(days))
+            kept = old.join(new.select(FILE_URI).distinct(), FILE_URI, "left_anti")
+            merged = kept.unionByName(new, allowMissingColumns=True)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            merged = new
+        _by_day(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    remove_scratch(spark, staging)
+
+
 def raw_read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.session import scratch_path
+from assaylake.session import remove_scratch, scratch_path
 from assaylake.sinks.tables import clear_partition, partitioned_sink
 
 
@@ -31,6 +31,9 @@ def upsert_partitions(
     with the days of the delta. The delta is stored in the shared scratch folder first, so its plan
     runs once and a rerun after a failure starts from the same rows. New files of a day replace the old
     ones only when the whole job commits, after every read of the old ones is done.
+
+    Days that end up empty are cleared first, in a commit of their own. A failure between the two leaves rows that
+    moved to another day out until the run is repeated; the repeated run finds them in its delta again.
     """
     spark = delta.sparkSession
     staging = scratch_path(spark, "upsert")
@@ -44,6 +47,7 @@ def upsert_partitions(
     gained = delta.select(date_column, F.lit(False).alias("old"))
     days = left.union(gained).groupBy(date_column).agg(F.bool_and("old").alias("only_old")).collect()
     if not days:
+        remove_scratch(spark, staging)
         return target
 
     def in_days(values: list) -> Column:
@@ -61,4 +65,6 @@ def upsert_partitions(
 
     rewritten = [d[date_column] for d in days if d[date_column] not in emptied]
     merged = merge_by_key(target.filter(in_days(rewritten)), delta, key)
-    return partitioned_sink(merged, target_path, date_column, cluster_by, only_touched=True)
+    written = partitioned_sink(merged, target_path, date_column, cluster_by, only_touched=True)
+    remove_scratch(spark, staging)
+    return written

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.functions.json import text
+from assaylake.functions.scalars import required_cast
 from assaylake.schemas.raw import FILE_URI, RUN_DATE
 
 TYPE_IN_PATH = r"/([^/-]+)[^/]*\.ndjson(?:/[^/]*)?$"
@@ -21,12 +22,13 @@ def resource_type_of(path: Column) -> Column:
 
 
 def landing_discover(spark: SparkSession, prefix: str, run_date: str) -> DataFrame:
-    """(resource_type, path, length) of every landed file; contents are not read."""
-    found = spark.read.format("binaryFile").load(f"{prefix}/{run_date}/*.ndjson")
+    """(resource_type, path, length) of every landed file, in folders of the day too; contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{prefix}/{run_date}")
+    found = found.filter(F.col("path").rlike(r"\.ndjson(/[^/]*)?$"))
     return found.select(resource_type_of(F.col("path")).alias("resource_type"), "path", "length")
 
 
-def ndjson_lines(spark: SparkSession, path: str) -> DataFrame:
+def ndjson_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(line, file_uri): one row per non-blank line, outer white space removed."""
     scanned = spark.read.text(path).select(
         F.btrim("value", F.lit(_BLANK)).alias("line"), F.col("_metadata.file_path").alias("file_uri")
@@ -62,7 +64,7 @@ def _rows(parsed: DataFrame, run_date: Column | str) -> DataFrame:
     return parsed.select(
         F.coalesce(text(envelope["id"]), F.lit("")).alias("resource_id"),
         F.coalesce(text(envelope["resourceType"]), F.lit("")).alias("resource_type"),
-        text(envelope["meta"]["lastUpdated"]).cast("timestamp").alias("last_updated"),
+        required_cast(text(envelope["meta"]["lastUpdated"]), "timestamp", "lastUpdated").alias("last_updated"),
         "raw",
         day.cast("date").alias(RUN_DATE),
         F.col("file_uri").alias(FILE_URI),
@@ -70,5 +72,11 @@ def _rows(parsed: DataFrame, run_date: Column | str) -> DataFrame:
 
 
 def ndjson_scan(spark: SparkSession, prefix: str, run_date: str, resource_type: str) -> DataFrame:
-    """Raw rows of one resource type landed on one day; other types' files are not opened."""
-    return raw_envelope(ndjson_lines(spark, f"{prefix}/{run_date}/{resource_type}[-.]*ndjson"), run_date)
+    """Raw rows of one resource type landed on one day, in folders of the day too; other types' files are not opened."""
+    found = landing_discover(spark, prefix, run_date).filter(F.col("resource_type") == resource_type)
+    # Folders, not files, are listed for the read: as many as exporters made for the type.
+    entry = F.regexp_extract("path", r"^(.*\.ndjson)(?:/[^/]*)?$", 1)
+    paths = sorted(r[0] for r in found.select(entry).distinct().collect())
+    if not paths:
+        raise FileNotFoundError(f"no {resource_type} files under {prefix}/{run_date}")
+    return raw_envelope(ndjson_lines(spark, paths), run_date)

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assaylake.functions.scalars import required_cast
 from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS
 
 
 def vocabulary_date(value: Column) -> Column:
     """Eight digits are read as YYYYMMDD; anything else must be an ISO date."""
     dashed = F.regexp_replace(value, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return dashed.cast("date")
+    return required_cast(dashed, "date", "vocabulary date")
 
 
 def vocabulary_scan(spark: SparkSession, table: str, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from assaylake.schemas.raw import FILE_URI, RUN_DATE
+from assaylake.sinks.raw import raw_merge_files
 from assaylake.sources.ndjson import raw_envelope
 
 RUN_DATE_IN_PATH = r"/(\d{4}-\d\d-\d\d)/[^/]+\.ndjson"
@@ -24,14 +25,21 @@ def landing_stream(spark: SparkSession, landing: str, resource_type: str) -> Dat
 
 
 def land_available(spark: SparkSession, landing: str, resource_type: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Append every file not seen before to a Parquet table and stop; each file is taken exactly once."""
+    """Bring every file not seen before into the raw table and stop.
+
+    A batch replaces the rows of the files it holds, so one that is repeated after a failure, or a file that a batch
+    load has brought in already, leaves the same table. The table stays an ordinary one: batch loads and other
+    readers see the same rows.
+    """
     rows = landing_stream(spark, landing, resource_type)
+
+    def merge(batch: DataFrame, _: int) -> None:
+        raw_merge_files(batch, path)
+
     return (
         rows.select("resource_id", "resource_type", "last_updated", "raw", FILE_URI, RUN_DATE)
-        .writeStream.format("parquet")
-        .option("path", path)
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(RUN_DATE)
         .trigger(availableNow=True)
         .start()
     )

@@ -37,6 +37,7 @@ class Workspace:
         self._vocabulary = vocabulary
         self._seeds = dict(seeds or {})
         self._models: dict[str, DataFrame] = {}
+        self._adopted: set[str] = set()
         self._concept_counts: dict[str, int] | None = None
 
     @classmethod
@@ -80,6 +81,10 @@ class Workspace:
 
     def adopt(self, name: str, stored: DataFrame) -> None:
         self._models[name] = stored
+        self._adopted.add(name)
+
+    def is_adopted(self, name: str) -> bool:
+        return name in self._adopted
 
     def concept_count(self, *vocabulary_ids: str) -> int:
         """Exact number of concepts in these vocabularies: an upper bound for any lookup over them.

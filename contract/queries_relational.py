@@ -188,22 +188,8 @@ query("lateral_unnest", "SELECT report AS id, oid FROM children")(
         F.col("fhir_report_id").alias("id"), F.explode("child_observation_ids").alias("oid")
     )
 )
-query(
-    "lookup_chain",
-    """SELECT measurement_id, measurement_concept_id, operator_concept_id, value_as_concept_id, unit_concept_id,
-        visit_occurrence_id, visit_detail_id, measurement_source_concept_id, specimen_id FROM measurements""",
-)(
-    lambda t: t.ws.model("omop_measurement").select(
-        "measurement_id",
-        "measurement_concept_id",
-        "operator_concept_id",
-        "value_as_concept_id",
-        "unit_concept_id",
-        "visit_occurrence_id",
-        "visit_detail_id",
-        "measurement_source_concept_id",
-        "specimen_id",
-    )
+query("lookup_chain", "SELECT * EXCLUDE (_loaded_at) FROM measurements")(
+    lambda t: t.ws.model("omop_measurement").drop("_loaded_at")
 )
 query(
     "left_join_coverage",

@@ -3,14 +3,16 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from assaylake.functions.scalars import surrogate_key
 from assaylake.operators.joins import ambiguous_keys
-from assaylake.plans.nightly import build, run_day, verdicts
+from assaylake.plans.nightly import completed_stages, build, run_day, verdicts
 from assaylake.plans.build import adopt_stored
 from assaylake.quality import checks, stages
 from assaylake.sinks.raw import load_run
+from assaylake.sources.ndjson import raw_envelope
 from assaylake.schemas.cdm import built_in_catalogue, catalogue_from_csv
 from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS
 from assaylake.streaming.landing import land_available
@@ -207,3 +209,103 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         land_available(spark, landing, "Patient", path, checkpoint).awaitTermination()
     rows = spark.read.parquet(path).select("resource_id", "_ingest_run_date").collect()
     assert sorted((r[0], str(r[1])) for r in rows) == [("1", "2024-01-02"), ("2", "2024-01-03")]
+
+
+def test_streamed_and_batch_loads_share_a_table(spark, tmp_path):
+    landing = land(tmp_path, "Patient-0000.ndjson", [{"id": "1"}])
+    land(tmp_path, "Patient-0001.ndjson", [{"id": "1b"}])
+    root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+    rows = lambda: sorted((r[0], str(r[1])) for r in spark.read.parquet(f"{root}/Patient").select("resource_id", "_ingest_run_date").collect())
+    land_available(spark, landing, "Patient", f"{root}/Patient", checkpoint).awaitTermination()
+    land(tmp_path, "Patient-0000.ndjson", [{"id": "2"}], "2024-01-03")
+    load_run(spark, landing, "2024-01-03", root)
+    assert rows() == [("1", DAY), ("1b", DAY), ("2", "2024-01-03")]
+    land(tmp_path, "Patient-0000.ndjson", [{"id": "1 again"}])
+    load_run(spark, landing, DAY, root)
+    assert rows() == [("1 again", DAY), ("1b", DAY), ("2", "2024-01-03")]
+    land_available(spark, landing, "Patient", f"{root}/Patient", checkpoint).awaitTermination()
+    assert rows() == [("1 again", DAY), ("1b", DAY), ("2", "2024-01-03")]
+
+
+def test_files_in_folders_of_a_day_are_loaded(spark, tmp_path):
+    landing = land(tmp_path, "Patient-0000.ndjson", [{"id": "1"}])
+    nested = tmp_path / "landing" / DAY / "part"
+    folder = next(p for p in tmp_path.rglob("Patient-0000.ndjson")).parent / "part"
+    del nested
+    folder.mkdir()
+    (folder / "Patient-0001.ndjson").write_text(json.dumps({"id": "2", "resourceType": "Patient"}) + "\n")
+    load_run(spark, landing, DAY, str(tmp_path / "raw"))
+    assert {r[0] for r in spark.read.parquet(str(tmp_path / "raw" / "Patient")).select("resource_id").collect()} == {"1", "2"}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_dates_fail_and_small_decimals_are_plain_in_any_session(spark, ansi):
+    from assaylake.functions.scalars import decimal_text
+    from assaylake.sources.vocabulary import vocabulary_date
+
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        values = ["0", "0.00000005", "-0.5", "12.340000000", "-7", "123456789012345678901.000000001"]
+        df = spark.createDataFrame([(v,) for v in values], "v string").select(decimal_text(F.col("v").cast("decimal(38,9)")))
+        assert [r[0] for r in df.collect()] == ["0", "0.00000005", "-0.5", "12.34", "-7", "123456789012345678901.000000001"]
+        days = spark.createDataFrame([("20240102",), ("2024-01-03",), (None,)], "v string").select(vocabulary_date(F.col("v")))
+        assert [str(r[0]) for r in days.collect()] == ["2024-01-02", "2024-01-03", "None"]
+        with pytest.raises(Exception, match="bad vocabulary date"):
+            spark.createDataFrame([("2024-13-01",)], "v string").select(vocabulary_date(F.col("v"))).collect()
+        with pytest.raises(Exception, match="bad lastUpdated"):
+            lines = spark.createDataFrame([(json.dumps({"id": "1", "meta": {"lastUpdated": "soon"}}), "f")], "line string, file_uri string")
+            raw_envelope(lines, DAY).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_maintained_observations_equal_a_full_refresh(spark, tmp_path):
+    """A first run without tables, a new day, a late reload with a newer and with a lost version, a row leaving the laboratory."""
+    root = str(tmp_path / "lake")
+    stored_vocabulary(spark, root)
+    landing = land(tmp_path, "Patient-0000.ndjson", [patient("p", birthDate="1980-01-01")])
+    land(tmp_path, "Specimen-0000.ndjson", [resource("Specimen", "s", subject={"reference": "Patient/p"})])
+    land(tmp_path, "DiagnosticReport-0000.ndjson", [resource("DiagnosticReport", "r", subject={"reference": "Patient/p"})])
+
+    def observe(day, *documents):
+        land(tmp_path, "Observation-0000.ndjson", list(documents), day)
+
+    def staged(how):
+        ws = Workspace.at(spark, root)
+        if how == "stored":
+            adopt_stored(ws, f"{root}/staging", f"{root}/cdm")
+        rows = ws.model("observation_versions").select("fhir_observation_id", "is_lab", "value_string", "_loaded_at").collect()
+        return sorted(tuple(map(str, r)) for r in rows)
+
+    at = "2024-0{}-01T00:00:00Z".format
+    observe(DAY, observation("a", updated=at(2), valueString="1"), observation("b", updated=at(2), valueString="2"), observation("c", updated=at(2)))
+    nights = [
+        (DAY, []),
+        ("2024-02-01", [observation("b", updated=at(3), valueString="3"), observation("d", updated=at(3), valueString="4")]),
+        (DAY, [observation("a", updated=at(2), valueString="late"), observation("e", updated=at(1), valueString="older"), observation("b", updated=at(2)), observation("c", updated=at(2))]),
+        ("2024-03-01", [observation("d", updated=at(4), category="vital-signs", valueString="left")]),
+        ("2024-03-01", [observation("f", updated=at(4), valueString="d is gone from this day")]),
+    ]
+    for day, documents in nights:
+        if documents:
+            observe(day, *documents)
+        if day != DAY:
+            land(tmp_path, "Patient-0000.ndjson", [patient("p", birthDate="1980-01-01")], day)
+        run_day(spark, landing, root, day)
+        assert staged("stored") == staged("whole"), day
+    ws = Workspace.at(spark, root)
+    adopt_stored(ws, f"{root}/staging", f"{root}/cdm")
+    values = {r[0] for r in ws.model("omop_measurement").select("value_source_value").collect()}
+    assert {"late", "3", "older"} <= values
+    assert completed_stages(ws, root)[:2] == ["build", "parse"]
+
+
+def test_command_line_fails_with_the_checks(spark, tmp_path, capsys):
+    from assaylake.__main__ import configured, report
+
+    schema = "check string, table_name string, column_name string, failed long, total long"
+    good = spark.createDataFrame([("unique", "t", "k", 0, 5), ("lost_at_person", "t", "p", 2, 5)], schema)
+    bad = good.unionByName(spark.createDataFrame([("unique", "t", "j", 1, 5)], schema))
+    assert report(good) == 0 and report(bad) == 1
+    assert "unique t.j: 1 of 5" in capsys.readouterr().out
+    assert configured(["salt_buckets=4", "accept_single_coding_extension=false"]).salt_buckets == 4

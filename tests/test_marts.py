@@ -246,17 +246,6 @@ def test_incremental_filter_before_and_after_the_newest_version(workspace):
     assert [r.value_source_value for r in pushed.collect()] == ["new"]
 
 
-def test_slack_skips_partitions_loaded_before_the_mark(workspace):
-    late = "2024-03-05T00:00:00Z"
-    documents = [(observation(f"o{day}", updated=late, valueString=day), day, "f") for day in ("2024-01-02", "2024-03-04", "2024-03-05")]
-    mark = F.lit("2024-03-05 00:00:00").cast("timestamp")
-    found = {}
-    for slack in (None, 1):
-        ws = facts(workspace, *documents, config=EngineConfig(run_date_slack_days=slack))
-        found[slack] = {r[0] for r in measurement_since(ws, mark).select("value_source_value").collect()}
-    assert found == {None: {"2024-01-02", "2024-03-04", "2024-03-05"}, 1: {"2024-03-04", "2024-03-05"}}
-
-
 def test_inventory(workspace):
     ws = facts(workspace, observation("a", code=loinc("1-1")), observation("b", code=loinc("1-1")), observation("c", code=loinc("9-9")), observation("d"))
     got = by(analyses.inventory_source_codes(ws), "resolution")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assaylake.schemas.raw import RAW
-from assaylake.session import scratch_path, scratch_root, size_shuffles, stored_bytes
+from assaylake.session import INITIAL_PARTITIONS, scratch_path, scratch_root, sized_shuffles, stored_bytes
 from assaylake.sinks.raw import load_run, raw_append, raw_read
 from assaylake.sinks.reports import report_sink
 from assaylake.sinks.tables import partitioned_sink, table_sink
@@ -162,12 +162,10 @@ def test_shuffles_are_sized_by_the_input(spark, tmp_path):
     (tmp_path / "a" / "x.parquet").write_bytes(b"12345")
     (tmp_path / "y.parquet").write_bytes(b"678")
     assert stored_bytes(spark, str(tmp_path)) == 8
-    try:
-        assert size_shuffles(spark, 8) == 4
-        assert size_shuffles(spark, 10**12) == 7451
-        assert size_shuffles(spark, 100 * 10**12) == 32_768
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    for size, most, wanted in ((8, 9, 4), (10**12, 10**6, 7451), (100 * 10**12, 10**6, 745_059), (100 * 10**12, 1000, 1000)):
+        with sized_shuffles(spark, size, most) as partitions:
+            assert partitions == wanted and spark.conf.get(INITIAL_PARTITIONS) == str(wanted)
+        assert spark.conf.get(INITIAL_PARTITIONS, None) is None
 
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
