@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from assaylake.config import ETHNICITY_URL, LOINC_URI, RACE_URL, SNOMED_URI, EngineConfig
 from assaylake.functions import json as j
 from assaylake.functions import scalars as s
+from assaylake.quality import stages
 from assaylake.operators.versions import high_water
 from contract.oracle import key
 from contract.registry import query
@@ -359,24 +360,18 @@ query("ts_to_date", "SELECT event_id, CAST(ts + INTERVAL 3 HOUR AS DATE) AS day
 )
 query(
     "date_parts",
-    """SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS y, CAST(month(o_orderdate) AS BIGINT) AS m,
-        CAST(day(o_orderdate) AS BIGINT) AS d FROM orders""",
+    """SELECT person_id, CAST(year(birth_date) AS BIGINT) AS y, CAST(month(birth_date) AS BIGINT) AS m,
+        CAST(day(birth_date) AS BIGINT) AS d FROM persons""",
 )(
-    lambda t: t.base("orders").select(
-        "o_orderkey",
-        F.year("o_orderdate").cast("bigint").alias("y"),
-        F.month("o_orderdate").cast("bigint").alias("m"),
-        F.dayofmonth("o_orderdate").cast("bigint").alias("d"),
+    lambda t: t.ws.model("omop_person").select(
+        "person_id", *[F.col(f"{part}_of_birth").cast("bigint").alias(part[0]) for part in ("year", "month", "day")]
     )
 )
 query(
     "current_date",
-    "SELECT CAST(o_orderdate AS DATE) < current_date AS past, count(*) AS n_orders FROM orders GROUP BY 1",
-)(
-    lambda t: t.base("orders")
-    .groupBy((F.to_date("o_orderdate") < F.current_date()).alias("past"))
-    .agg(F.count("*").alias("n_orders"))
-)
+    """SELECT current_date AS cdm_release_date, current_date AS source_release_date, max('v' || r_regionkey) AS vocabulary_version
+        FROM region""",
+)(lambda t: t.ws.model("omop_cdm_source").select("cdm_release_date", "source_release_date", "vocabulary_version"))
 query(
     "typed_null",
     """SELECT s_suppkey, CAST(NULL AS BIGINT) AS provider_id, CAST(NULL AS VARCHAR) AS county,
@@ -423,20 +418,19 @@ query(
 )(
     lambda t: t.base("part").select(
         "p_partkey",
-        F.when(F.col("p_partkey") % 2 == 0, F.col("p_name"))
-        .otherwise(F.col("p_retailprice").cast("string"))
-        .try_cast("decimal(38,9)")
-        .alias("price"),
-    )
+        F.parse_json(
+            F.expr("to_json(named_struct('v', if(p_partkey % 2 = 0, p_name, cast(p_retailprice as string))))")
+        ).alias("document"),
+    ).select("p_partkey", j.number(j.json_path(F.col("document"), "v")).alias("price"))
 )
 query(
     "pct_arith",
-    """SELECT o_custkey, 100.0 * sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) / count(*) AS pct
-        FROM orders GROUP BY o_custkey""",
+    """SELECT 100.0 * count(*) FILTER (measurement_concept_id = 0) / count(*) AS concepts,
+        100.0 * count(*) FILTER (unit_concept_id = 0) / count(*) AS units FROM measurements""",
 )(
-    lambda t: t.base("orders")
-    .groupBy("o_custkey")
-    .agg((F.lit(100.0) * F.count_if(F.col("o_orderstatus") == "F") / F.count("*")).alias("pct"))
+    lambda t: stages.measurement_gaps(t.ws).select(
+        F.col("pct_unknown_concept").alias("concepts"), F.col("pct_unknown_unit").alias("units")
+    )
 )
 query(
     "epoch_default",

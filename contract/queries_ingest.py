@@ -17,6 +17,7 @@ from assaylake.sinks.upsert import upsert_partitions
 from assaylake.sources import seeds
 from assaylake.sources.ndjson import landing_discover, ndjson_scan, raw_envelope_quarantined
 from assaylake.sources.vocabulary import bundle_counts, load_bundle, vocabulary_date, vocabulary_scan
+from assaylake.workspace import Workspace
 from contract.adapter import RUN_DATE
 from contract.oracle import key
 from contract.queries_models import RAW_COUNTS
@@ -237,9 +238,19 @@ def _seed(t):
 
 # ---- tables ------------------------------------------------------------------------------------
 
-query("table_scan", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")(
-    lambda t: t.base("orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus")
+query("table_scan", "SELECT id AS resource_id, o_orderdate AS last_updated FROM specimens WHERE o_orderdate >= DATE '1996-01-01'")(
+    lambda t: _scan(t)
 )
+
+
+def _scan(t):
+    """A stored raw table, read under its declared schema through a workspace."""
+    root = scratch_path(t.spark, "lake")
+    raw_append(t.raw("Specimen"), f"{root}/raw/Specimen")
+    table = Workspace.at(t.spark, root).raw("Specimen")
+    return table.filter("last_updated >= timestamp'1996-01-01'").select("resource_id", "last_updated")
+
+
 query("view_sink", "SELECT site_code, count(*) AS n FROM specimens GROUP BY 1")(lambda t: _view(t))
 
 

@@ -16,15 +16,12 @@ from contract.registry import query
 
 query(
     "project_rename",
-    "SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status FROM orders",
-)(
-    lambda t: t.base("orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("status"),
-    )
+    "SELECT id AS fhir_encounter_id, 'C' || o_custkey AS patient_ref, ended AS period_end, 'finished' AS status FROM encounters",
+)(lambda t: t.ws.model("stg_encounter").select("fhir_encounter_id", "patient_ref", "period_end", "status"))
+query("select_except", "SELECT * EXCLUDE (s_acctbal) FROM supplier")(
+    # The rank that picks the newest version is dropped again.
+    lambda t: latest_version(t.base("supplier").drop("s_acctbal"), "s_suppkey", ("s_name",))
 )
-query("select_except", "SELECT * EXCLUDE (s_acctbal) FROM supplier")(lambda t: t.base("supplier").drop("s_acctbal"))
 query(
     "filter_bool",
     """SELECT oid, is_lab AS in_lab, NOT is_lab AS in_other FROM observations""",
@@ -39,17 +36,28 @@ query(
 )
 query(
     "filter_vocab_standard",
-    "SELECT concept_id FROM concepts WHERE vocab = 'SNOMED' AND standard = 'S' AND invalid IS NULL",
+    "SELECT code, concept_id, concept_name FROM concepts WHERE vocab = 'SNOMED' AND standard = 'S' AND invalid IS NULL",
 )(
-    lambda t: t.vocabulary("concept")
-    .filter("vocabulary_id = 'SNOMED' and standard_concept = 'S' and invalid_reason is null")
-    .select("concept_id")
-)
-query("filter_nonstandard", "SELECT concept_id FROM concepts WHERE standard IS NULL OR standard <> 'S'")(
-    lambda t: t.vocabulary("concept")
-    .filter(F.col("standard_concept").isNull() | (F.col("standard_concept") != "S"))
-    .select("concept_id")
+    lambda t: t.ws.model("snomed_value_lookup").select(
+        F.col("concept_code").alias("code"), "concept_id", "concept_name"
+    )
 )
+query(
+    "filter_nonstandard",
+    """SELECT s.code, t.concept_id FROM concepts s JOIN maps ON source = s.concept_id
+        JOIN concepts t ON t.concept_id = target AND t.standard = 'S'
+        WHERE s.vocab = 'LOINC' AND s.standard IS DISTINCT FROM 'S'""",
+)(lambda t: _mapped(t))
+
+
+def _mapped(t):
+    """Codes of the LOINC lookup that come from no standard concept of their own."""
+    lookup = t.ws.model("loinc_lookup")
+    own = t.vocabulary("concept").filter("vocabulary_id = 'LOINC' and standard_concept = 'S'")
+    own = own.select("concept_code", "concept_id")
+    return lookup.join(own, ["concept_code", "concept_id"], "left_anti").select(F.col("concept_code").alias("code"), "concept_id")
+
+
 query("filter_any_not_null", "SELECT id FROM patients WHERE coalesce(city, state, zip, country) IS NOT NULL")(
     lambda t: t.ws.model("stg_patient")
     .filter(F.coalesce(*marts.ADDRESS).isNotNull())
@@ -60,17 +68,17 @@ query("filter_not_null", "SELECT oid FROM observations WHERE encounter_ref IS NO
     .filter(F.col("encounter_ref").isNotNull())
     .select(F.col("fhir_observation_id").alias("oid"))
 )
-query(
-    "filter_in_list",
-    "SELECT event_id, event_type FROM events WHERE lower(upper(event_type)) IN ('click', 'view')",
-)(
-    lambda t: t.base("events")
-    .filter(F.lower(F.upper("event_type")).isin("click", "view"))
-    .select("event_id", "event_type")
-)
-query("filter_by_name", "SELECT p_partkey, p_name FROM part WHERE p_name IN ('red widget', 'blue bolt', 'small ring')")(
-    lambda t: t.base("part").filter(F.col("p_name").isin("red widget", "blue bolt", "small ring")).select("p_partkey", "p_name")
+query("filter_in_list", "SELECT oid FROM observations WHERE is_lab")(
+    # Codes and texts of a category are looked up in a list, in any case.
+    lambda t: latest_version(t.raw("Observation").select("*", *shape(F.col("raw"), {"category": staging.OBSERVATION["category"]})))
+    .filter(is_laboratory(F.col("category")))
+    .select(F.col("resource_id").alias("oid"))
 )
+query(
+    "filter_by_name",
+    """SELECT comparator, concept_id FROM (VALUES ('lt', 4171756), ('lte', 4171754), ('gt', 4172704), ('gte', 4171755),
+        ('eq', 4172703)) AS v(comparator, concept_id) WHERE EXISTS (SELECT 1 FROM part)""",
+)(lambda t: t.ws.model("operator_lookup"))
 query(
     "filter_high_water",
     """SELECT oid FROM observations
