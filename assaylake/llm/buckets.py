@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ASK = "part int, bucket int, size long, keys binary, counts binary"
+# Bytes of a key that travel: the highest ones. Keys that agree in them count as one, which may only make a key
+# look shared; the exact comparison comes later.
+KEY_BYTES = 6
 ANSWER = "bucket int, kind int, part int, body binary"
 
 
@@ -27,7 +30,8 @@ def asked(bucket: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.T
     """One row per range of keys. ``keys``: sorted and different, uint64; ``counts``: uint8."""
     cuts = np.searchsorted(keys, part_starts(parts))
     ends = [*cuts[1:].tolist(), len(keys)]
-    rows = [(p, bucket, e - b, keys[b:e].tobytes(), counts[b:e].tobytes()) for p, (b, e) in enumerate(zip(cuts.tolist(), ends)) if e > b]
+    packed = keys.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    rows = [(p, bucket, e - b, packed[b:e].tobytes(), counts[b:e].tobytes()) for p, (b, e) in enumerate(zip(cuts.tolist(), ends)) if e > b]
     return pa.Table.from_arrays(
         [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
         names=["part", "bucket", "size", "keys", "counts"],
@@ -41,7 +45,10 @@ def part_starts(parts: int) -> np.ndarray:
 def answer_totals(table: pa.Table) -> pa.Table:
     """For every bucket that asked, the sum of the counts of each of its keys, up to 255."""
     sizes = table["size"].to_numpy()
-    keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint64)
+    packed = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
+    keys = np.zeros((len(packed), 8), np.uint8)
+    keys[:, :KEY_BYTES] = packed
+    keys = keys.view(">u8").ravel().astype(np.uint64)
     counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint8)
     order = np.argsort(keys)
     ordered = keys[order]

@@ -36,7 +36,9 @@ GRAM = 20
 WINDOW = LENGTH - GRAM + 1  # grams of a string; places its anchor can have
 BEFORE = LENGTH - GRAM  # bytes before an anchor that a string can reach
 CONTEXT = BEFORE + LENGTH
-GROUP_TEXT = 4 * 1024 * 1024
+GROUP_TEXT = 2 * 1024 * 1024
+# Text behind one range of gram hashes, and behind one range of suffixes.
+HASHED_TEXT, SORTED_TEXT = 32 * 1024 * 1024, 16 * 1024 * 1024
 # Buckets of documents that share a gram, beyond which its strings are sent apart (at most 255).
 HOT = 200
 # Documents whose anchors are sampled for splitters, and splitters wanted per range.
@@ -253,8 +255,8 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     """
     total = text_bytes(docs)
     buckets = groups_for(total, GROUP_TEXT)
-    parts = groups_for(total, 4 * GROUP_TEXT)  # ranges of gram hashes
-    splitters = _splitters(docs, groups_for(total, 2 * GROUP_TEXT))
+    parts = groups_for(total, HASHED_TEXT)
+    splitters = _splitters(docs, groups_for(total, SORTED_TEXT))
     dealt = bucketed(docs, buckets).drop("version")
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -277,21 +279,21 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
         if table.num_rows:
             bucket = table["bucket"][0].as_py()
             _, found, first, _, _, least, to, by = prepared(table, heard)
-            squeeze = zstandard.ZstdCompressor(level=1)
+            squeeze = zstandard.ZstdCompressor(level=3).compress
             cuts = np.flatnonzero(np.concatenate([[True], to[by][1:] != to[by][:-1]])) if len(by) else []
             for part in np.split(by, cuts[1:]) if len(by) else []:
                 at = first[part]
                 rows.append(
-                    (int(to[part[0]]), bucket, len(part), squeeze.compress(found["around"][at].tobytes()), found["bits"][at].tobytes(), least[part].tobytes())
+                    (int(to[part[0]]), bucket, len(part), *[squeeze(x.tobytes()) for x in (found["around"][at], found["bits"][at], least[part])])
                 )
         kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=[c.split()[0] for c in SEND.split(", ")])
 
     def compare(table: pa.Table) -> pa.Table:
-        expand = zstandard.ZstdDecompressor()
-        around = np.frombuffer(b"".join(expand.decompress(b) for b in table["around"].to_pylist()), np.uint8).reshape(-1, CONTEXT)
-        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint32)
-        first = np.frombuffer(b"".join(table["docs"].to_pylist()), np.int64)
+        expand = zstandard.ZstdDecompressor().decompress
+        whole = lambda column: b"".join(expand(b) for b in table[column].to_pylist())
+        around = np.frombuffer(whole("around"), np.uint8).reshape(-1, CONTEXT)
+        bits, first = np.frombuffer(whole("bits"), np.uint32), np.frombuffer(whole("docs"), np.int64)
         earlier = earlier_strings(around, bits, first)
         bodies = [x.tobytes() for x in np.split(earlier, np.cumsum(table["size"].to_numpy())[:-1])]
         return pa.Table.from_arrays(
