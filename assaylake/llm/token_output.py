@@ -23,28 +23,31 @@ END_ID = 2
 # Bytes of text whose ids one output file holds.
 FILE_TEXT = 32 * 1024 * 1024
 
-_CODES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3  # the four lengths, less one, of a control byte
+# The four lengths of a control byte.
+_LENGTHS = (1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3)).astype(np.uint8)
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes. Ranks are below 2**32."""
     ranks = ranks.astype("<u4")
-    lengths = 1 + (ranks > 0xFF) + (ranks > 0xFFFF).astype(np.int64) + (ranks > 0xFFFFFF)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    lengths = (ranks > 0xFF).view(np.uint8) + (ranks > 0xFFFF).view(np.uint8) + (ranks > 0xFFFFFF).view(np.uint8)
+    widest = int(lengths.max(initial=0)) + 1
+    rows = ranks.view(np.uint8).reshape(-1, 4)[:, :widest]
+    data = rows[np.arange(widest, dtype=np.uint8) <= lengths[:, None]]
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = lengths - 1
+    codes[: len(ranks)] = lengths
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    lengths = _CODES[np.frombuffer(control, np.uint8)].ravel()[:n] + 1
-    offsets = np.cumsum(lengths) - lengths
+    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
+    offsets = np.cumsum(lengths, dtype=np.int64) - lengths
     padded = np.frombuffer(data + b"\0\0\0", np.uint8)
     value = padded[offsets].astype(np.uint32)
     for byte in range(1, int(lengths.max(initial=1))):
-        value |= np.where(lengths > byte, padded[offsets + byte], 0).astype(np.uint32) << np.uint32(8 * byte)
+        value |= (padded[offsets + byte] * (lengths > byte)).astype(np.uint32) << np.uint32(8 * byte)
     return value
 
 

@@ -7,14 +7,21 @@ tokenizer for new ones only, a batch at a time.
 
 from __future__ import annotations
 
+import gc
 import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
+
 from assaylake.llm.common import single_thread
 
-# Pieces a worker remembers; about 200 bytes each. The table starts anew when full.
-MEMORY = 1_000_000
-_BESIDE_SPACE = re.compile(r"\s\x20|\x20\s")
+# Words and marks a worker remembers; about 170 bytes each. The table starts anew beyond that.
+MEMORY = 1_500_000
+_BESIDE_SPACE = re.compile(r"\x20(?:\s|(?<=\s\x20))")
+# A word, a mark, and the same again behind a line end: both vocabularies cut between these parts.
+_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?))?")
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _SINGLE_SPACE = re.compile(r"(?<=\S)\x20(?=\S)")
 
 
@@ -27,10 +34,15 @@ class PieceTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.width = width
+        self.code = {2: "H", 4: "I"}[width]
         # A vocabulary that keeps spaces gives a piece together with the space before it.
         self.keeps_space = len(self.ids([" a"])[0]) != len(self.ids(["a"])[0]) or self.ids([" a"]) != self.ids(["a"])
         self.known: dict[str, bytes] = {}
+        # Tokens that begin (spaces kept) or end (spaces dropped) a word.
+        edge = str.startswith if self.keeps_space else str.endswith
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.edges = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edges[[i for token, i in vocabulary.items() if edge(token, "Ġ" if self.keeps_space else "</w>")]] = True
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -42,18 +54,47 @@ class PieceTokenizer:
             return [cut[0], *[" " + p for p in cut[1:]]]
         return text.split(" ")  # white space is dropped anyway
 
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters: they are encoded as texts of many words and told apart by their edge tokens."""
+        runs = [words[i : i + 500] for i in range(0, len(words), 500)]
+        texts = [("" if self.keeps_space else " ").join(run) for run in runs]
+        for run, ids in zip(runs, self.ids(texts)):
+            ids = np.array(ids, np.dtype(self.code))
+            cuts = np.flatnonzero(self.edges[ids])
+            ends = [*cuts[1:].tolist(), len(ids)] if self.keeps_space else (cuts + 1).tolist()
+            if len(ends) != len(run):
+                raise ValueError("words and edge tokens differ in number")
+            packed, begin = ids.tobytes(), 0
+            for end in ends:
+                yield packed[begin * ids.itemsize : end * ids.itemsize]
+                begin = end
+
+    def _ids_of(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces not met before; a word with its marks is put together from parts, and parts are remembered."""
+        parts = {p: [x for x in m.groups() if x] if (m := _SIMPLE.fullmatch(p)) else [p] for p in pieces}
+        new = list({x for row in parts.values() for x in row if x not in self.known})
+        if len(self.known) + len(new) > MEMORY:
+            self.known.clear()
+            new = list({x for row in parts.values() for x in row})
+        words = [x for x in new if len(x) > 1 and x[0].isspace() == self.keeps_space and _LETTERS.fullmatch(x)]
+        self.known.update(zip(words, self._words(words)))
+        rest = [x for x in new if x not in self.known]
+        self.known.update((x, array(self.code, ids).tobytes()) for x, ids in zip(rest, self.ids(rest)))
+        return {piece: b"".join(map(self.known.__getitem__, row)) for piece, row in parts.items()}
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The packed ids of each text."""
-        pack = lambda ids: b"".join(i.to_bytes(self.width, "little") for i in ids)
-        for begin in range(0, len(texts), 256):
-            pieces = [self._pieces(t) for t in texts[begin : begin + 256]]
-            new = list({p for row in pieces for p in row if p not in self.known})
-            if len(self.known) + len(new) > MEMORY:
-                self.known.clear()
-                new = list({p for row in pieces for p in row})
-            self.known.update(zip(new, map(pack, self.ids(new))))
-            for row in pieces:
-                yield b"".join(map(self.known.__getitem__, row))
+        for begin in range(0, len(texts), 512):
+            gc.disable()  # nothing here forms cycles, and each collection would walk the whole table
+            try:
+                rows = [self._pieces(t) for t in texts[begin : begin + 512]]
+                pieces = {p for row in rows for p in row}
+                found = {p: self.known[p] for p in pieces if p in self.known}
+                found |= self._ids_of(pieces - found.keys())
+                packed = [b"".join(map(found.__getitem__, row)) for row in rows]
+            finally:
+                gc.enable()
+            yield from packed
 
 
 _LOADED: dict[tuple[str, int], PieceTokenizer] = {}
