@@ -370,6 +370,28 @@ def omop_measurement(ws: Workspace) -> DataFrame:
     return measurement_from(ws, ws.model("stg_observation_lab"))
 
 
+def measurement_delta(ws: Workspace, lab: DataFrame) -> DataFrame:
+    """Measurement rows for a few laboratory observations, as from ``measurement_from``.
+
+    Reports, persons, visits and specimens are first cut to those the observations refer to. The references are
+    broadcast where their counted number allows it; then the whole tables are scanned but never shuffled. ``lab`` is
+    read several times and should be stored.
+    """
+    small = lab.count() <= ws.config.broadcast_row_limit
+
+    def cut(table: DataFrame, column: str, key: Column) -> DataFrame:
+        used = lab.select(key.alias(column)).filter(F.col(column).isNotNull()).distinct()
+        return table.join(F.broadcast(used) if small else used, column, "left_semi")
+
+    reduced = {
+        "report_child_obs": cut(ws.model("report_child_obs"), "fhir_observation_id", F.col("fhir_observation_id")),
+        "omop_person": cut(ws.model("omop_person"), "person_id", surrogate_key(F.col("patient_ref"))),
+        "omop_visit_occurrence": cut(ws.model("omop_visit_occurrence"), "visit_source_value", F.col("encounter_ref")),
+        "omop_specimen": cut(ws.model("omop_specimen"), "specimen_source_id", F.col("specimen_ref")),
+    }
+    return measurement_from(ws.replaced(reduced), lab)
+
+
 def measurement_since(ws: Workspace, since: Column | None) -> DataFrame:
     """Measurement rows of observations updated at or after ``since``; all of them when it is None."""
     return measurement_from(ws, laboratory_half(observation_versions(ws, since)))

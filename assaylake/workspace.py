@@ -83,6 +83,13 @@ class Workspace:
         self._models[name] = stored
         self._adopted.add(name)
 
+    def replaced(self, models: Mapping[str, DataFrame]) -> Workspace:
+        """The same inputs and models, with some models replaced."""
+        other = Workspace(self.spark, self._raw, self._vocabulary, self.config, self._seeds)
+        other._models, other._adopted = {**self._models, **models}, self._adopted | set(models)
+        other._concept_counts = self._concept_counts
+        return other
+
     def is_adopted(self, name: str) -> bool:
         return name in self._adopted
 
