@@ -38,7 +38,7 @@ BEFORE = LENGTH - GRAM  # bytes before an anchor that a string can reach
 CONTEXT = BEFORE + LENGTH
 GROUP_TEXT = 2 * 1024 * 1024
 # Text behind one range of gram hashes, and behind one range of suffixes.
-HASHED_TEXT, SORTED_TEXT = 32 * 1024 * 1024, 16 * 1024 * 1024
+HASHED_TEXT, SORTED_TEXT = 32 * 1024 * 1024, 4 * 1024 * 1024
 # Buckets of documents that share a gram, beyond which its strings are sent apart (at most 255).
 HOT = 200
 # Documents whose anchors are sampled for splitters, and splitters wanted per range.
