@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from assaylake.config import EngineConfig
 from assaylake.plans import nightly
 from assaylake.plans.build import adopt_stored
+from assaylake.schemas.cdm import catalogue_from_ddl
 from assaylake.session import configure
 from assaylake.sinks.raw import load_run
 from assaylake.sources.seeds import TEST_SEED, UNIT_SEED, seed_scan
@@ -45,6 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--test-seed", help="CSV of the site's test codes (build, check, day)")
     parser.add_argument("--unit-seed", help="CSV of the site's unit spellings (build, check, day)")
     parser.add_argument("--set", nargs="*", default=[], metavar="NAME=VALUE", help="settings of EngineConfig")
+    parser.add_argument("--ddl", nargs="*", help="DDL files of the data model; its tables and keys are checked too (check)")
     args = parser.parse_args(argv)
 
     spark = configure(SparkSession.builder.appName("assaylake").getOrCreate())
@@ -66,7 +68,8 @@ def main(argv: list[str] | None = None) -> int:
             nightly.build(ws, args.root, args.full_refresh, args.days)
     elif args.command == "check":
         adopt_stored(ws, f"{args.root}/staging", f"{args.root}/cdm")
-        results = nightly.check_all(ws).persist()
+        catalogue = catalogue_from_ddl(spark, *args.ddl) if args.ddl else None
+        results = nightly.check_all(ws, catalogue).persist()
         nightly.record_stage(ws, args.root, "test", nightly.failing(results).isEmpty())
         nightly.verdicts(ws, nightly.completed_stages(ws, args.root)).show(truncate=False)
         return report(results)

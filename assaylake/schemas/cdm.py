@@ -1,11 +1,12 @@
 """Catalogue of CDM tables: columns, types, required columns, keys.
 
 The tables this engine writes are declared here. Any further CDM table is taken from the published
-field-level CSV of the data model (``catalogue_from_csv``).
+field-level CSV of the data model (``catalogue_from_csv``) or from its DDL (``catalogue_from_ddl``).
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -159,3 +160,40 @@ def catalogue_from_csv(spark: SparkSession, path: str) -> Catalogue:
         if yes(row["isForeignKey"]):
             links.append(ForeignKey(table, column, row["fkTableName"].lower(), row["fkFieldName"].lower()))
     return Catalogue({t: T.StructType(f) for t, f in fields.items()}, keys, tuple(links))
+
+
+_TABLE = re.compile(r"create\s+table\s+([\w.@`\"]+)\s*\((.*?)\)\s*(?:;|using\b|cluster\b|distribute\b|$)", re.I | re.S)
+_COLUMN = re.compile(r"^\s*[`\"]?(\w+)[`\"]?\s+([a-z]\w*)(?:\s*\([^)]*\))?([^,]*)$", re.I)
+_KEY = re.compile(r"alter\s+table\s+([\w.@`\"]+)\s+add\s+constraint\s+\w+\s+primary\s+key\s+(?:\w+\s*)?\(\s*[`\"]?(\w+)", re.I)
+_LINK = re.compile(
+    r"alter\s+table\s+([\w.@`\"]+)\s+add\s+constraint\s+\w+\s+foreign\s+key\s*\(\s*[`\"]?(\w+)[`\"]?\s*\)\s*"
+    r"references\s+([\w.@`\"]+)\s*\(\s*[`\"]?(\w+)",
+    re.I,
+)
+
+
+def catalogue_from_ddl(spark: SparkSession, *paths: str) -> Catalogue:
+    """The whole data model from its published DDL: files of tables, primary keys and constraints, in any order."""
+    scripts = [r[0] for p in paths for r in spark.read.text(p, wholetext=True).collect()]  # a few files of a few hundred lines
+    text = re.sub(r"--[^\n]*", "", "\n".join(scripts))
+    plain = lambda name: name.split(".")[-1].strip('`"@').lower()
+
+    def kind(name: str) -> T.DataType:
+        name = name.lower()
+        if name.startswith(("int", "bigint")):
+            return T.LongType()
+        if name.startswith(("float", "double", "numeric", "decimal")):
+            return T.DoubleType()
+        if name == "date":
+            return T.DateType()
+        return T.TimestampType() if name.startswith(("datetime", "timestamp")) else T.StringType()
+
+    schemas = {}
+    for table, body in _TABLE.findall(text):
+        columns = [_COLUMN.match(part) for part in re.split(r",(?![^()]*\))", body)]
+        schemas[plain(table)] = T.StructType(
+            [T.StructField(c[1].lower(), kind(c[2]), "not null" not in c[3].lower()) for c in columns if c]
+        )
+    keys = {plain(table): column.lower() for table, column in _KEY.findall(text)}
+    links = [ForeignKey(plain(t), c.lower(), plain(p), k.lower()) for t, c, p, k in _LINK.findall(text)]
+    return Catalogue(schemas, keys, tuple(links))

@@ -307,17 +307,17 @@ query(
         built_in_catalogue(),
     )
 )
+_CDM_MEASUREMENT = built_in_catalogue().schemas["measurement"].names
+_NOT_MADE = ("unit_source_concept_id", "measurement_event_id", "meas_event_field_concept_id")
 query(
     "conform_to_cdm",
-    """SELECT measurement_id, CAST(NULL AS BIGINT) AS unit_source_concept_id, value_as_number, range_high,
-        measurement_date, CAST(NULL AS BIGINT) AS measurement_event_id FROM measurements""",
-)(
-    lambda t: checks.conform_to_cdm(t.ws.model("omop_measurement"), "measurement", built_in_catalogue())[0].select(
-        "measurement_id",
-        "unit_source_concept_id",
-        "value_as_number",
-        "range_high",
-        "measurement_date",
-        "measurement_event_id",
-    )
-)
+    "SELECT "
+    + ", ".join(f"CAST(NULL AS BIGINT) AS {c}" if c in _NOT_MADE else c for c in _CDM_MEASUREMENT)
+    + " FROM measurements",
+)(lambda t: checks.conform_to_cdm(t.ws.model("omop_measurement"), "measurement", built_in_catalogue())[0])
+query(
+    "conform_report",
+    "SELECT 'measurement' AS table_name, c AS column_name, f AS finding FROM (VALUES ('specimen_id', 'extra'), ('_loaded_at', 'extra'), "
+    + ", ".join(f"('{c}', 'missing')" for c in _NOT_MADE)
+    + ") AS v(c, f) WHERE EXISTS (SELECT 1 FROM lineitem)",
+)(lambda t: checks.conform_to_cdm(t.ws.model("omop_measurement"), "measurement", built_in_catalogue())[1])

@@ -13,7 +13,7 @@ from assaylake.plans.nightly import build, completed_stages, record_stage, run_d
 from assaylake.quality import checks, stages
 from assaylake.sinks.raw import load_run
 from assaylake.sources.ndjson import raw_envelope
-from assaylake.schemas.cdm import built_in_catalogue, catalogue_from_csv
+from assaylake.schemas.cdm import ForeignKey, built_in_catalogue, catalogue_from_csv, catalogue_from_ddl
 from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS
 from assaylake.streaming.landing import land_available
 from assaylake.workspace import Workspace
@@ -318,3 +318,33 @@ def test_command_line_fails_with_the_checks(spark, tmp_path, capsys):
     assert report(good) == 0 and report(bad) == 1
     assert "unique t.j: 1 of 5" in capsys.readouterr().out
     assert configured(["salt_buckets=4", "accept_single_coding_extension=false"]).salt_buckets == 4
+
+
+def test_catalogue_from_ddl(spark, tmp_path):
+    (tmp_path / "tables.sql").write_text(
+        """--a comment, with a comma
+CREATE TABLE @cdm.DEATH (
+    person_id integer NOT NULL, -- who
+    death_date date NOT NULL,
+    death_datetime TIMESTAMP NULL,
+    note varchar(50) NULL,
+    amount numeric(10,2) );
+create table `lake`.provider (provider_id INT64 not null, provider_name STRING);
+"""
+    )
+    (tmp_path / "keys.sql").write_text(
+        """ALTER TABLE @cdm.provider ADD CONSTRAINT xpk_provider PRIMARY KEY NONCLUSTERED (provider_id);
+ALTER TABLE @cdm.death ADD CONSTRAINT fpk_death FOREIGN KEY (person_id) REFERENCES @cdm.PERSON (PERSON_ID);
+"""
+    )
+    found = catalogue_from_ddl(spark, str(tmp_path / "tables.sql"), str(tmp_path / "keys.sql"))
+    assert [(f.name, f.dataType.typeName(), f.nullable) for f in found.schemas["death"].fields] == [
+        ("person_id", "long", False),
+        ("death_date", "date", False),
+        ("death_datetime", "timestamp", True),
+        ("note", "string", True),
+        ("amount", "double", True),
+    ]
+    assert found.required("provider") == ["provider_id"]
+    assert found.primary_keys == {"provider": "provider_id"}
+    assert found.foreign_keys == (ForeignKey("death", "person_id", "person", "person_id"),)
