@@ -233,12 +233,19 @@ MEASUREMENT_CONCEPTS = (
     "measurement_concept_id measurement_type_concept_id operator_concept_id value_as_concept_id unit_concept_id "
     "measurement_source_concept_id"
 ).split()
+OBSERVATION_CONCEPTS = (
+    "observation_concept_id observation_type_concept_id value_as_concept_id qualifier_concept_id unit_concept_id "
+    "observation_source_concept_id obs_event_field_concept_id"
+).split()
 query(
     "dq_concept_valid",
-    " UNION ALL ".join(orphans("concept_valid", "measurement", c, "measurements") for c in MEASUREMENT_CONCEPTS),
+    " UNION ALL ".join(
+        [orphans("concept_valid", "measurement", c, "measurements") for c in MEASUREMENT_CONCEPTS]
+        + [orphans("concept_valid", "observation", c, "other_observations") for c in OBSERVATION_CONCEPTS]
+    ),
 )(
     lambda t: checks.check_concepts_valid(
-        marts(t, "omop_measurement"), t.vocabulary("concept"), built_in_catalogue()
+        marts(t, "omop_measurement", "omop_observation"), t.vocabulary("concept"), built_in_catalogue()
     )
 )
 query(
