@@ -92,6 +92,7 @@ class Texts:
         n = len(self.data)
         if n < LENGTH:
             self.anchors, self.keys, self.least = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            self.hashes = self.keys
             return
         h = gram_hashes(self.data)
         least = _sliding(h, WINDOW, np.minimum)  # by start of a string
@@ -103,7 +104,9 @@ class Texts:
         pad = np.zeros(WINDOW - 1, np.uint64)
         most = _sliding(np.concatenate([pad, least, pad]), WINDOW, np.maximum)
         self.anchors = np.flatnonzero((most == h) & (most != 0))
-        self.keys, self.least = h[self.anchors], least
+        self.hashes, self.least = h[self.anchors], least
+        # Anchors have small hashes; as keys they are spread evenly again.
+        self.keys = self.hashes * _BASE
 
     def doc_of(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, places, side="right")
@@ -124,10 +127,10 @@ class Texts:
         unique, _ = self.asked_keys()
         heard = totals[np.searchsorted(unique, self.keys)] if len(unique) else np.zeros(0, np.uint8)
         shared = heard > 1
-        places, keys, hot = self.anchors[shared], self.keys[shared], heard[shared] > HOT
+        places, hashes, hot = self.anchors[shared], self.hashes[shared], heard[shared] > HOT
         # strings[i, a]: the string that starts ``a`` bytes before the anchor has it as its anchor
         reach = np.concatenate([np.zeros(WINDOW - 1, np.uint64), self.least, np.zeros(LENGTH, np.uint64)])
-        strings = sliding_window_view(reach, WINDOW)[places][:, ::-1] == keys[:, None]
+        strings = sliding_window_view(reach, WINDOW)[places][:, ::-1] == hashes[:, None]
         # Strings of hot grams become suffixes that start where the string does.
         rows, a = np.nonzero(strings & hot[:, None])
         apart = np.unique(places[rows] - a)
