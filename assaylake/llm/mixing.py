@@ -20,7 +20,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
 # Documents that meet in one block of the tree, on average.
-BLOCK = 32
+BLOCK = 64
 
 
 def source_targets(sizes: DataFrame, share: float = SHARE, most: int = MOST_COPIES) -> DataFrame:
@@ -72,27 +72,46 @@ def _meet(state: Column, unit: Column) -> Column:
     return moved
 
 
-def _settle(units: Column, kind: str) -> Column:
-    """All units of a block in a row; at most one stays undecided."""
+def _settle(units: Column, kind: str, alike: bool) -> Column:
+    """All units of a block in a row, the largest first; at most one stays undecided.
+
+    On the first level the units are ``alike``: all have the same fraction. Then a unit meets the rest of the block
+    as a whole: it is drawn, and what it takes or leaves moves to the fraction of the rest. So only small units are
+    left to meet one by one. This goes on while the rest can bear it.
+    """
     settled = lambda u: (u["part"] == 0.0) | (u["part"] == 1.0)
     empty = F.lit(None).cast(kind)
-    start = F.struct(empty.alias("carry"), F.array().cast(f"array<{kind}>").alias("done"))
+    rate = F.get(units, F.lit(0))["part"] if alike else F.lit(None).cast("double")
+    rest = F.aggregate(units, F.lit(0.0), lambda total, u: total + F.when(settled(u), 0.0).otherwise(u["size"]))
+    start = F.struct(empty.alias("carry"), F.array().cast(f"array<{kind}>").alias("done"), rate.alias("rate"), rest.alias("rest"))
+
+    def state_of(carry, done, rate, rest):
+        return F.struct(carry.alias("carry"), done.alias("done"), rate.alias("rate"), rest.alias("rest"))
 
     def step(state, unit):
-        met = F.transform(F.array(F.struct(state.alias("s"), unit.alias("u"))), lambda x: _meet(x["s"], x["u"]))
+        f, size = state["rate"], unit["size"]
+        rest = F.when(settled(unit), state["rest"]).otherwise(state["rest"] - size)
+        own = unit.withField("part", F.coalesce(f, unit["part"]))
+        bearable = state["carry"].isNull() & ((1 - f) * size <= f * rest) & (f * size <= (1 - f) * rest)
+        drawn = F.when(_uniform(unit["key"], F.lit("rest")) < f, F.lit(1.0)).otherwise(F.lit(0.0))
+        moved = F.greatest(F.lit(0.0), F.least(F.lit(1.0), f + (f - drawn) * size / rest))
+        against_rest = state_of(empty, F.concat(state["done"], F.array(unit.withField("part", drawn))), moved, rest)
 
         def after(m):
             both = F.array(m["c"], m["u"])
-            return F.struct(
-                F.get(F.filter(both, lambda u: ~settled(u)), F.lit(0)).alias("carry"),
-                F.concat(state["done"], F.filter(both, settled)).alias("done"),
-            )
+            left = F.get(F.filter(both, lambda u: ~settled(u)), F.lit(0))
+            return state_of(left, F.concat(state["done"], F.filter(both, settled)), f, rest)
 
+        met = F.transform(F.array(F.struct(state.alias("s"), own.alias("u"))), lambda x: _meet(x["s"], x["u"]))
         together = F.get(F.transform(met, after), F.lit(0))
-        alone = F.when(settled(unit), F.struct(empty.alias("carry"), F.concat(state["done"], F.array(unit)).alias("done"))).otherwise(
-            F.struct(unit.alias("carry"), state["done"].alias("done"))
+        decided = state_of(state["carry"], F.concat(state["done"], F.array(F.when(settled(unit), unit).otherwise(own))), f, rest)
+        alone = state_of(own, state["done"], f, rest)
+        return (
+            F.when(settled(unit) | settled(own), decided)
+            .when(bearable & (rest > 0), against_rest)
+            .when(state["carry"].isNull(), alone)
+            .otherwise(together)
         )
-        return F.when(state["carry"].isNull(), alone).otherwise(together)
 
     return F.aggregate(units, start, step)
 
@@ -138,7 +157,7 @@ def mix_sources(docs: DataFrame, share: float = SHARE, most: int = MOST_COPIES)
             F.sort_array(F.collect_list(F.struct((-F.col("unit.size")).alias("order"), F.col("unit.key").alias("key"), "unit"))).alias("units")
         )
         ordered = gathered.select("source", "n", F.transform("units", lambda u: u["unit"]).alias("units"))
-        done = stored(ordered.select("source", "n", _settle(F.col("units"), kind).alias("state")), f"mix-level-{level}")
+        done = stored(ordered.select("source", "n", _settle(F.col("units"), kind, level == 0).alias("state")), f"mix-level-{level}")
         settled.append(done.select(F.explode("state.done").alias("unit")))
         undecided = done.filter("state.carry is not null").select("source", "n", F.col("state.carry").alias("unit"))
         level, most_units = level + 1, -(-most_units // BLOCK)
