@@ -104,3 +104,10 @@ def place_in_group(df: DataFrame, group: list[str], order: list[str], place: str
 def single_thread() -> None:
     """Spark runs a task per core; libraries must not start threads of their own."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
+def slices(batches, rows: int = 1024):
+    """Arrow batches in pieces, so that only few texts are Python strings at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)

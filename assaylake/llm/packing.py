@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import groups_for, place_in_group, stored
+from assaylake.llm.common import groups_for, place_in_group, slices, stored
 from assaylake.llm.tokens import tokenizer
 
 SEQUENCE = 2048
@@ -62,7 +62,7 @@ def pieces(docs: DataFrame, path: str, size: int, end_id: int) -> DataFrame:
 
     def run(batches):
         coder, end = tokenizer(path, 4), end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             rows, at = [], []
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for i, packed in enumerate(coder.encode(texts)):

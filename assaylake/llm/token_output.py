@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import groups_for, stored, text_bytes
+from assaylake.llm.common import groups_for, slices, stored, text_bytes
 from assaylake.llm.tokens import tokenizer
 from assaylake.session import scratch_path
 
@@ -57,7 +57,7 @@ def _tokenised(docs: DataFrame, path: str, end_id: int, width: int) -> DataFrame
     def run(batches):
         coder, squeeze = tokenizer(path, width), zstandard.ZstdCompressor(level=1)
         end = end_id.to_bytes(width, "little")
-        for batch in batches:
+        for batch in slices(batches):
             ids, counts = [], []
             for packed in coder.encode([t or "" for t in batch.column("text").to_pylist()]):
                 counts.append(len(packed) // width + 1)

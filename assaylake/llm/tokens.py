@@ -17,10 +17,10 @@ import numpy as np
 from assaylake.llm.common import single_thread
 
 # Words and marks a worker remembers; about 170 bytes each. The table starts anew beyond that.
-MEMORY = 1_500_000
+MEMORY = 1_000_000
 _BESIDE_SPACE = re.compile(r"\x20(?:\s|(?<=\s\x20))")
 # A word, a mark, and the same again behind a line end: both vocabularies cut between these parts.
-_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?))?")
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?))?")
 _LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _SINGLE_SPACE = re.compile(r"(?<=\S)\x20(?=\S)")
 
@@ -37,7 +37,9 @@ class PieceTokenizer:
         self.code = {2: "H", 4: "I"}[width]
         # A vocabulary that keeps spaces gives a piece together with the space before it.
         self.keeps_space = len(self.ids([" a"])[0]) != len(self.ids(["a"])[0]) or self.ids([" a"]) != self.ids(["a"])
+        # Ids of words and marks, and of words behind a space where that belongs to them.
         self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
         # Tokens that begin (spaces kept) or end (spaces dropped) a word.
         edge = str.startswith if self.keeps_space else str.endswith
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -49,10 +51,9 @@ class PieceTokenizer:
 
     def _pieces(self, text: str) -> list[str]:
         """The text at spaces that surely end a piece: those between two characters that are no white space."""
-        if self.keeps_space:
-            cut = _SINGLE_SPACE.split(text) if _BESIDE_SPACE.search(text) else text.split(" ")
-            return [cut[0], *[" " + p for p in cut[1:]]]
-        return text.split(" ")  # white space is dropped anyway
+        if self.keeps_space and _BESIDE_SPACE.search(text):
+            return _SINGLE_SPACE.split(text)
+        return text.split(" ")  # where white space is dropped, any space does
 
     def _words(self, words: list[str]) -> Iterator[bytes]:
         """Ids of words of letters: they are encoded as texts of many words and told apart by their edge tokens."""
@@ -69,18 +70,29 @@ class PieceTokenizer:
                 yield packed[begin * ids.itemsize : end * ids.itemsize]
                 begin = end
 
-    def _ids_of(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces not met before; a word with its marks is put together from parts, and parts are remembered."""
-        parts = {p: [x for x in m.groups() if x] if (m := _SIMPLE.fullmatch(p)) else [p] for p in pieces}
-        new = list({x for row in parts.values() for x in row if x not in self.known})
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = list({x for row in parts.values() for x in row})
+    def _encode(self, new: list[str]) -> list[bytes]:
+        found = {}
         words = [x for x in new if len(x) > 1 and x[0].isspace() == self.keeps_space and _LETTERS.fullmatch(x)]
-        self.known.update(zip(words, self._words(words)))
-        rest = [x for x in new if x not in self.known]
-        self.known.update((x, array(self.code, ids).tobytes()) for x, ids in zip(rest, self.ids(rest)))
-        return {piece: b"".join(map(self.known.__getitem__, row)) for piece, row in parts.items()}
+        found.update(zip(words, self._words(words)))
+        rest = [x for x in new if x not in found]
+        found.update((x, array(self.code, ids).tobytes()) for x, ids in zip(rest, self.ids(rest)))
+        return [found[x] for x in new]
+
+    def _ids_of(self, pieces: set[str], lead: str) -> dict[str, bytes]:
+        """Ids of pieces behind ``lead``; a word with its marks is put together from parts, and parts are remembered."""
+        own = self.spaced if lead else self.known
+        found = {p: own[p] for p in pieces if p in own}
+        rows = {p: m.groups("") if (m := _SIMPLE.fullmatch(p)) else (p,) for p in pieces if p not in found}
+        if len(self.spaced) + len(self.known) + len(rows) > MEMORY:
+            self.spaced.clear()
+            self.known.clear()
+        heads = [x for x in {row[0] for row in rows.values()} if x not in own]
+        own.update(zip(heads, self._encode([lead + x for x in heads])))
+        tails = [x for x in {x for row in rows.values() for x in row[1:]} if x not in self.known]
+        self.known.update(zip(tails, self._encode(tails)))
+        for p, row in rows.items():
+            found[p] = own[row[0]] if len(row) == 1 else own[row[0]] + b"".join(map(self.known.__getitem__, row[1:]))
+        return found
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The packed ids of each text."""
@@ -88,10 +100,10 @@ class PieceTokenizer:
             gc.disable()  # nothing here forms cycles, and each collection would walk the whole table
             try:
                 rows = [self._pieces(t) for t in texts[begin : begin + 512]]
-                pieces = {p for row in rows for p in row}
-                found = {p: self.known[p] for p in pieces if p in self.known}
-                found |= self._ids_of(pieces - found.keys())
-                packed = [b"".join(map(found.__getitem__, row)) for row in rows]
+                first = self._ids_of({row[0] for row in rows}, "")
+                rest = [row[1:] for row in rows]
+                found = self._ids_of(set().union(*rest), " " if self.keeps_space else "")
+                packed = [first[row[0]] + b"".join(map(found.__getitem__, others)) for row, others in zip(rows, rest)]
             finally:
                 gc.enable()
             yield from packed
