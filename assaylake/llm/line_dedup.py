@@ -5,6 +5,9 @@ fingerprint, so any two equal runs of that length share one at the same place. F
 dropped after a count. Around each remaining position the match is extended to the left and right to every run of
 ``run_lines`` lines that selected the fingerprint; equal runs meet by a 128-bit hash of their content, and all but
 the first are deleted. A longer repetition is a chain of such runs and is deleted whole.
+
+With ``short_words``, runs of fewer lines count too where their words reach that number: each is a fingerprint of its
+own, so a long line, or two, are deleted wherever they repeat, and exact copies of such documents go.
 """
 
 from __future__ import annotations
@@ -12,10 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.common import SPACES, let, stored
+from assaylake.llm.common import SPACES, let, stored, word_count
 
 # Consecutive lines with words that must agree before anything is deleted.
 RUN_LINES = 3
+# Words that make a repeated run of fewer lines count.
+SHORT_WORDS = 50
 
 
 def _content(lines: Column) -> Column:
@@ -28,66 +33,102 @@ def _lines(text: str) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _runs(h: Column, run_lines: int) -> Column:
-    """All runs of ``run_lines`` lines: the fingerprint each selects, its start, and a hash of its content."""
+def _runs(h: Column, run_lines: int, short_words: int | None) -> Column:
+    """All runs that count: the fingerprint each selects, its start and lines, and a hash of its content."""
 
-    def run(start):
-        members = [F.get(h, start + F.lit(i)) for i in range(run_lines)]
-        least = F.array_min(F.array(*[F.struct(m["a"].alias("h"), F.lit(-i).alias("at")) for i, m in enumerate(members)]))
-        return F.struct(
-            least["h"].alias("fingerprint"),
+    def content(start, members):
+        return [
             start.alias("start"),
+            F.lit(len(members)).alias("lines"),
             F.xxhash64(*[m["a"] for m in members]).alias("a"),
             F.xxhash64(F.lit(1), *[m["b"] for m in members]).alias("b"),
-        )
+        ]
 
-    return F.when(F.size(h) >= run_lines, F.transform(F.sequence(F.lit(0), F.size(h) - run_lines), run))
+    def members(start, lines):
+        return [F.get(h, start + F.lit(i)) for i in range(lines)]
 
+    def run(start):
+        found = members(start, run_lines)
+        least = F.array_min(F.array(*[F.struct(m["a"].alias("h"), F.lit(-i).alias("at")) for i, m in enumerate(found)]))
+        return F.struct(least["h"].alias("fingerprint"), *content(start, found))
 
-def _occurrences(docs: DataFrame, run_lines: int) -> DataFrame:
-    """(doc_id, version, fingerprint, start, a, b): every run, with the fingerprint that it extends to both sides."""
-    hashes = F.transform(
-        _content(_lines("text")), lambda x: F.struct(F.xxhash64(x["s"]).alias("a"), F.xxhash64(F.lit(1), x["s"]).alias("b"))
-    )
-    runs = let(hashes, lambda h: _runs(h, run_lines))
+    def short_run(start, lines):
+        found = members(start, lines)
+        return F.struct(F.xxhash64(F.lit(lines), *[m["a"] for m in found]).alias("fingerprint"), *content(start, found))
+
+    def enough(start, lines):
+        return sum((m["words"] for m in members(start, lines)), F.lit(0)) >= short_words
+
+    def starts(lines):
+        return F.when(F.size(h) >= lines, F.sequence(F.lit(0), F.size(h) - lines)).otherwise(F.array().cast("array<int>"))
+
+    def short_runs(lines):
+        worded = F.filter(starts(lines), lambda start: enough(start, lines))
+        return F.transform(worded, lambda start: short_run(start, lines))
+
+    runs = [F.transform(starts(run_lines), run)]
+    if short_words is not None:
+        runs += [short_runs(lines) for lines in range(1, run_lines)]
+    return F.concat(*runs)
+
+
+def _occurrences(docs: DataFrame, run_lines: int, short_words: int | None) -> DataFrame:
+    """(doc_id, version, fingerprint, start, lines, a, b): every run, with the fingerprint that it extends to both sides."""
+
+    def hashed(x):
+        words = [] if short_words is None else [word_count(x["s"]).alias("words")]
+        return F.struct(F.xxhash64(x["s"]).alias("a"), F.xxhash64(F.lit(1), x["s"]).alias("b"), *words)
+
+    runs = let(F.transform(_content(_lines("text")), hashed), lambda h: _runs(h, run_lines, short_words))
     rows = docs.select("doc_id", F.xxhash64("text").alias("version"), F.explode(runs).alias("run"))
     return rows.select("doc_id", "version", "run.*")
 
 
-def repeated_runs(docs: DataFrame, run_lines: int = RUN_LINES) -> DataFrame:
-    """(doc_id, version, starts): places, counted in lines with words, where a run repeats an earlier one.
+def repeated_runs(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | None = None) -> DataFrame:
+    """(doc_id, version, runs): (start, lines) where a run repeats an earlier one, counted in lines with words.
 
-    Earlier is by doc_id (null last), then text hash, then place. Equal rows share their places.
+    Earlier is by doc_id (null last), then text hash, then place. Equal rows share their places. Of runs that start
+    at the same place the longest is given.
     """
-    runs = _occurrences(docs, run_lines)
+    runs = _occurrences(docs, run_lines, short_words)
     recurring = runs.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
     candidates = stored(runs.join(recurring, "fingerprint", "left_semi"), "line-runs")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version", "start")
-    first = candidates.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("final"))
-    first = first.filter("first != final").select("a", "b", "first")
-    later = candidates.join(first, ["a", "b"]).filter(place > F.col("first"))
-    return later.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    same = ["lines", "a", "b"]
+    first = candidates.groupBy(*same).agg(F.min(place).alias("first"), F.max(place).alias("final"))
+    first = first.filter("first != final").select(*same, "first")
+    later = candidates.join(first, same).filter(place > F.col("first"))
+    places = later.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("start", "lines"))).alias("runs"))
+    return places.withColumn("runs", let(F.col("runs"), _longest))
+
 
+def _longest(runs: Column) -> Column:
+    """Of sorted (start, lines) the last of each start."""
+    return F.filter(runs, lambda r, j: F.coalesce(F.get(runs, j + 1)["start"] != r["start"], F.lit(True)))
 
-def line_dedup(docs: DataFrame, run_lines: int = RUN_LINES) -> DataFrame:
+
+def line_dedup(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | None = None) -> DataFrame:
     """Documents with later repeated runs deleted: (doc_id, text, n_lines, n_removed).
 
     ``text`` is the text without the deleted lines; blank lines inside a deleted run go with it and do not count.
     ``n_lines`` counts lines with words. Null text stays null with no lines; an empty or blank text stays as it is;
-    texts under ``run_lines`` lines are never changed. Repeated rows get the same answer, and an empty table gives
+    texts under ``run_lines`` lines are only changed with ``short_words``, by which later repeated runs of fewer lines
+    go as well if they have so many words. Repeated rows get the same answer, and an empty table gives
     an empty result. A document whose lines all went keeps an empty text.
     """
-    return _cleaned(docs.select("doc_id", "text"), run_lines).select("doc_id", "text", "n_lines", "n_removed")
+    return _cleaned(docs.select("doc_id", "text"), run_lines, short_words).select("doc_id", "text", "n_lines", "n_removed")
 
 
-def deduplicated(docs: DataFrame, run_lines: int = RUN_LINES) -> DataFrame:
+def deduplicated(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | None = SHORT_WORDS) -> DataFrame:
     """The rows of ``docs`` with later repeated runs deleted from ``text`` and ``n_chars`` counted anew.
 
+    Runs of fewer lines are deleted too where they have ``short_words`` words.
+
     A document whose lines with words all went is a repetition and goes; others keep all their columns.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest")) if rest else docs
-    kept = _cleaned(packed, run_lines).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    kept = _cleaned(packed, run_lines, short_words).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     columns = {"doc_id": F.col("doc_id"), "text": F.col("text")} | {c: F.col(f"_rest.`{c}`") for c in rest}
     if "n_chars" in columns:
         kind = dict(docs.dtypes)["n_chars"]
@@ -95,37 +136,43 @@ def deduplicated(docs: DataFrame, run_lines: int = RUN_LINES) -> DataFrame:
     return kept.select(*[columns[c].alias(c) for c in docs.columns])
 
 
-def _cleaned(docs: DataFrame, run_lines: int) -> DataFrame:
+def _cleaned(docs: DataFrame, run_lines: int, short_words: int | None) -> DataFrame:
     """The columns of ``docs`` (doc_id, text and at most _rest) with the text cleaned, n_lines and n_removed."""
     extra = [c for c in docs.columns if c == "_rest"]
-    gone = repeated_runs(docs, run_lines).select(F.xxhash64("doc_id").alias("key"), "version", "starts")
+    gone = repeated_runs(docs, run_lines, short_words).select(F.xxhash64("doc_id").alias("key"), "version", "runs")
     rows = docs.select("doc_id", "text", *extra, F.xxhash64("doc_id").alias("key"), F.xxhash64("text").alias("version"))
     joined = rows.join(gone, ["key", "version"], "left")
-    starts = F.col("starts")
-    n_gone = F.size("starts")
+    runs = F.col("runs")
+    n_gone = F.size("runs")
+
+    def end(j):
+        return F.get(runs, j)["start"] + F.get(runs, j)["lines"]
+
+    def reached(j):  # lines up to the end of the runs before this one; starts differ, so older runs end earlier
+        return F.greatest(F.lit(0), *[end(j - i) for i in range(1, run_lines + 1)])
 
     def kept(lines, raw):
         def gap(j):
-            begin = F.when(j == 0, 0).otherwise(F.get(raw, F.get(starts, j - 1) + (run_lines - 1)) + 1)
-            end = F.when(j == n_gone, F.size(lines)).otherwise(F.get(raw, F.get(starts, j)))
+            begin = F.when(j == 0, 0).otherwise(F.get(raw, reached(j) - 1) + 1)
+            end = F.when(j == n_gone, F.size(lines)).otherwise(F.get(raw, F.get(runs, j)["start"]))
             return F.slice(lines, begin + 1, F.greatest(F.lit(0), end - begin))
 
         return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n_gone), gap)), "\n")
 
-    def fresh(start, j):  # lines that this run adds to those deleted before it
-        return F.when(j == 0, run_lines).otherwise(F.least(F.lit(run_lines), start - F.get(starts, j - 1)))
+    def fresh(run, j):  # lines that this run adds to those deleted before it
+        return F.greatest(F.lit(0), end(j) - F.greatest(run["start"], reached(j)))
 
     def answer(lines):
         raw = F.transform(_content(lines), lambda x: x["raw"])
         return let(
-            raw, lambda r: F.struct(F.size(r).cast("long").alias("n_lines"), F.when(starts.isNotNull(), kept(lines, r)).alias("kept"))
+            raw, lambda r: F.struct(F.size(r).cast("long").alias("n_lines"), F.when(runs.isNotNull(), kept(lines, r)).alias("kept"))
         )
 
-    removed = F.aggregate(F.transform(starts, fresh), F.lit(0), lambda total, x: total + x)
-    answered = joined.select("doc_id", "text", *extra, "starts", let(_lines("text"), answer).alias("answer"), removed.alias("removed"))
+    removed = F.aggregate(F.transform(runs, fresh), F.lit(0), lambda total, x: total + x)
+    answered = joined.select("doc_id", "text", *extra, "runs", let(_lines("text"), answer).alias("answer"), removed.alias("removed"))
     return answered.select(
         "doc_id",
-        F.when(F.col("starts").isNull(), F.col("text")).otherwise(F.col("answer.kept")).alias("text"),
+        F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.col("answer.kept")).alias("text"),
         *extra,
         F.col("answer.n_lines").alias("n_lines"),
         F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),

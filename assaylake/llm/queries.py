@@ -10,7 +10,7 @@ from assaylake.llm import oracles
 from assaylake.llm.common import documents
 from assaylake.llm.fingerprints import document_fingerprints
 from assaylake.llm.license_scan import license_scan
-from assaylake.llm.line_dedup import line_dedup
+from assaylake.llm.line_dedup import SHORT_WORDS, line_dedup
 from assaylake.llm.mixing import mix_sources
 from assaylake.llm.ngram_join import ngram_classes
 from assaylake.llm.packing import best_fit_packing
@@ -24,6 +24,11 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(documents(spark, folder))
 
 
+def op1_short_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Line dedup that also deletes runs of one or two lines with ``SHORT_WORDS`` words."""
+    return line_dedup(documents(spark, folder), short_words=SHORT_WORDS)
+
+
 def op2_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -73,6 +78,7 @@ QUERIES = {
         op8_ngram_join,
         op9_fingerprints,
         op10_mixing,
+        op1_short_runs,
     )
 } | {"pipeline": corpus_pipeline.run}
 ORACLES = dict(oracles.SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
