@@ -12,8 +12,9 @@ document has it. A splitter is a whole gram and a bucket starts with all suffixe
 both sides of a boundary differ in their leading tokens: no match crosses one.
 
 *Hot passages.* A bucket of documents sends a suffix with equal surroundings once, with its first document. Where a
-gram is met in more than ``HOT`` buckets, its strings are sent as suffixes of their own and spread by all of their
-bytes' order, so a phrase that stands in a third of all documents fills no bucket.
+gram is met in more than ``HOT`` buckets, its strings are sent as suffixes of their own and go to ranges by a hash of
+all their bytes: only equality is asked of them, and equal ones have the same gram, so all of them are sent apart. A
+phrase in a third of all documents, shorter than a string and followed by other text each time, fills no range.
 """
 
 from __future__ import annotations
@@ -144,16 +145,22 @@ class Texts:
         span = np.arange(-BEFORE, LENGTH)
         around[(span < -before[:, None]) | (span >= after[:, None])] = 0
         bits = (strings.astype(np.uint32) << np.arange(WINDOW, dtype=np.uint32)).sum(1, dtype=np.uint32)
-        return {"place": places, "around": around, "bits": bits, "doc": doc}
+        is_apart = np.arange(len(places)) >= len(places) - len(apart)
+        return {"place": places, "around": around, "bits": bits, "doc": doc, "apart": is_apart}
 
 
-def distinct_surroundings(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Row of the first of equal surroundings, in an order of their own, and for every suffix the number of its kind."""
-    words = np.ascontiguousarray(found["around"]).view(np.uint64).reshape(len(found["around"]), -1)
-    h = found["bits"].astype(np.uint64)
+def surroundings_hashes(around: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    words = np.ascontiguousarray(around).view(np.uint64)
+    h = bits.astype(np.uint64)
     for k in range(words.shape[1]):
         h = (h ^ words[:, k]) * _BASE
         h ^= h >> np.uint64(32)
+    return h
+
+
+def distinct_surroundings(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Row of the first of equal surroundings, in an order of their own, and for every suffix the number of its kind."""
+    h = surroundings_hashes(found["around"], found["bits"])
     _, first, kind = np.unique(h, return_index=True, return_inverse=True)
     return first, kind
 
@@ -224,6 +231,16 @@ def _leading(around: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(around[:, BEFORE : BEFORE + GRAM]).view(f"S{GRAM}").ravel()
 
 
+def ranges_of(around: np.ndarray, bits: np.ndarray, apart: np.ndarray, splitters: np.ndarray, ranges: int) -> np.ndarray:
+    """Range of every suffix: by order of its gram, or by a hash of the whole string where that was sent apart."""
+    if not len(around):
+        return np.zeros(0, np.int64)
+    to = np.searchsorted(splitters, _leading(around), side="right")
+    hashed = (surroundings_hashes(around[apart], bits[apart]) >> np.uint64(16)) % np.uint64(ranges)
+    to[apart] = hashed.astype(np.int64)
+    return to
+
+
 def _splitters(docs: DataFrame, ranges: int) -> np.ndarray:
     """Grams that cut the suffixes of sampled documents into equal ranges."""
     if ranges < 2:
@@ -259,7 +276,8 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     total = text_bytes(docs)
     buckets = groups_for(total, GROUP_TEXT)
     parts = groups_for(total, HASHED_TEXT)
-    splitters = _splitters(docs, groups_for(total, SORTED_TEXT))
+    ranges = groups_for(total, SORTED_TEXT)
+    splitters = _splitters(docs, ranges)
     dealt = bucketed(docs, buckets).drop("version")
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -273,7 +291,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
         docs_of = np.array(texts.ids, np.int64)[found["doc"]] if len(number) else np.zeros(0, np.int64)
         least = np.full(len(first), NO_ID)
         np.minimum.at(least, number, docs_of)
-        to = np.searchsorted(splitters, _leading(found["around"][first]), side="right") if len(first) else np.zeros(0, np.int64)
+        to = ranges_of(found["around"][first], found["bits"][first], found["apart"][first], splitters, ranges)
         by = np.argsort(to, kind="stable")
         return texts, found, first, number, docs_of, least, to, by
 
