@@ -37,6 +37,11 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(documents(spark, folder))
 
 
+def op3_license_layouts(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence scan that also finds notices within lines and licences of several paragraphs within documents."""
+    return license_scan(documents(spark, folder), layouts=True)
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(documents(spark, folder)).select("doc_id", *MEASURES, "base_failed", "kept")
 
@@ -79,6 +84,7 @@ QUERIES = {
         op9_fingerprints,
         op10_mixing,
         op1_short_runs,
+        op3_license_layouts,
     )
 } | {"pipeline": corpus_pipeline.run}
 ORACLES = dict(oracles.SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
