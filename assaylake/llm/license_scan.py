@@ -168,8 +168,8 @@ def license_runs(docs: DataFrame, threshold: float, templates: list[tuple[str, s
         return spark.createDataFrame([], f"doc_id {dict(docs.dtypes)['doc_id']}, unit string, license_id string, dice double")
     known = spark.createDataFrame(listed, "license_id string, template array<string>, low int, high int, least int")
     needed = sorted(set().union(*[needed_words(grams, threshold) for _, grams, *_ in listed]))
-    rows = docs.select("doc_id", F.lower("text").alias("text"), F.xxhash64("text").alias("version")).dropDuplicates(["doc_id", "version"])
-    rows = rows.filter(F.col("text").rlike(r"(?<![\p{L}\p{N}])(?:" + "|".join(needed) + r")(?![\p{L}\p{N}])"))
+    rows = docs.select("doc_id", F.lower("text").alias("text"), F.xxhash64("text").alias("version"))
+    rows = rows.filter(F.col("text").rlike(r"(?<![\p{L}\p{N}])(?:" + "|".join(needed) + r")(?![\p{L}\p{N}])")).dropDuplicates(["doc_id", "version"])
     clean = F.transform(F.split("text", r"\n|(?<=[.!?;:])\s"), lambda x: F.btrim(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " ")))
     cut = F.transform(F.filter(clean, lambda x: x != ""), lambda x: F.split(x, " "))
     rows = rows.select("doc_id", "version", cut.alias("sentences")).withColumn("words", F.flatten("sentences"))
