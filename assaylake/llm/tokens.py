@@ -33,7 +33,9 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        # Names of added tokens stand for one id wherever they occur, so a text that holds one is encoded whole.
+        names = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.named = re.compile("|".join(map(re.escape, names)) or "(?!)", re.IGNORECASE)
         self.code = {2: "H", 4: "I"}[width]
         # A vocabulary that keeps spaces gives a piece together with the space before it.
         self.keeps_space = len(self.ids([" a"])[0]) != len(self.ids(["a"])[0]) or self.ids([" a"]) != self.ids(["a"])
@@ -97,13 +99,19 @@ class PieceTokenizer:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The packed ids of each text."""
         for begin in range(0, len(texts), 512):
+            block = texts[begin : begin + 512]
+            whole = {x for x in block if self.named.search(x)}
+            apart = dict(zip(whole, (array(self.code, ids).tobytes() for ids in self.ids(list(whole))))) if whole else {}
             gc.disable()  # nothing here forms cycles, and each collection would walk the whole table
             try:
-                rows = [self._pieces(t) for t in texts[begin : begin + 512]]
+                rows = [self._pieces("" if t in whole else t) for t in block]
                 first = self._ids_of({row[0] for row in rows}, "")
                 rest = [row[1:] for row in rows]
                 found = self._ids_of(set().union(*rest), " " if self.keeps_space else "")
-                packed = [first[row[0]] + b"".join(map(found.__getitem__, others)) for row, others in zip(rows, rest)]
+                packed = [
+                    apart[t] if t in whole else first[row[0]] + b"".join(map(found.__getitem__, others))
+                    for t, row, others in zip(block, rows, rest)
+                ]
             finally:
                 gc.enable()
             yield from packed

@@ -310,7 +310,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     """Quality and lines by their brute force, classes by comparison of all pairs; then counts of the mix and the packing."""
     import corpus_pipeline
     from assaylake.llm.quality_rules import quality_rules
-    from tests.llm.test_lines_licenses_quality import brute_lines
+    from tests.llm.test_short_runs import brute as brute_lines
 
     base = [prose(i, 60) for i in range(40)]
     found = rows(*base, *[edited(base[i], i) for i in range(15)], *["short one"] * 5, *[f"{base[3]}\n{prose(70 + i, 40)}" for i in range(10)])
@@ -319,7 +319,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     good = {r["doc_id"] for r in quality_rules(docs).filter("kept").collect()}
     found = [r for r in found if r[0] in good]
     clean = brute_lines(found)
-    found = [(*r[:1], clean[r[0], r[1]][0], *r[2:]) for r in found if clean[r[0], r[1]][0].strip()]
+    found = [(*r[:1], clean[r[0]][0], *r[2:]) for r in found if clean[r[0]][0].strip()]
     classes = brute_classes([shingles(r[1], 5) for r in found], 80)
     found = [r for i, r in enumerate(found) if classes[i] == i]
     for _, stage in corpus_pipeline.STAGES[:3]:

@@ -18,16 +18,15 @@ from tests.llm.helpers import crc_of, hard_rows, prose, rows, table
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     "", " ", "  ", " a", "a ", "a  b", "a \n b", "a\nb c", "don't I'll we've x's", "x y z  w", "　a b", "tab\tand space", "1234 56,7 8.9",
-    "İΣ ẞ café é ö", "<|endoftext|> a <|endoftext|>", "\x1c a\x1fb \x85 c", "中文 字", "a\r\n b \r", "   x", "'s 't",
+    "İΣ ẞ café é ö", "<|endoftext|> a <|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>y  z", "<|startoftext|>x", "A<|ENDOFTEXT|> b <|endoftext", "\x1c a\x1fb \x85 c", "中文 字", "a\r\n b \r", "   x", "'s 't",
 ]
 
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_ids_by_piece_are_the_ids_of_the_text(path):
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     pick = random.Random(5)
-    alphabet = [" ", " ", "a", "b", "Z", "\n", "\t", "'", "s", ".", ",", "1", "é", " ", "́", "Σ", "\U0001f600", "\x1c", " "]
+    alphabet = [" ", " ", "a", "b", "Z", "<|endoftext|>", "\n", "\t", "'", "s", ".", ",", "1", "é", " ", "́", "Σ", "\U0001f600", "\x1c", " "]
     texts = ODD + [r[1] or "" for r in hard_rows()] + ["".join(pick.choices(alphabet, k=pick.randint(1, 40))) for _ in range(3000)]
     for text, packed in zip(texts, PieceTokenizer(path, 4).encode(texts)):
         assert np.frombuffer(packed, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
@@ -44,7 +43,6 @@ def test_variable_length_round_trip():
 
 def test_token_files(spark, hard, nothing):
     plain = Tokenizer.from_file(BYTES)
-    plain.encode_special_tokens = True
     got = token_digests(hard, BYTES).collect()
     found = hard_rows()
     assert len(got) == len(found)
@@ -91,7 +89,6 @@ def test_best_fit_plan_is_best_fit():
 
 def test_packing(spark, hard, nothing):
     plain = Tokenizer.from_file(WORDS)
-    plain.encode_special_tokens = True
     want = Counter()
     for r in hard_rows():
         ids = [*plain.encode(r[1] or "", add_special_tokens=False).ids, 0]
