@@ -15,6 +15,7 @@ from assaylake.llm.mixing import mix_sources
 from assaylake.llm.ngram_join import ngram_classes
 from assaylake.llm.packing import best_fit_packing
 from assaylake.llm.quality_rules import MEASURES, quality_rules
+from assaylake.llm.rule_ensemble import quality_scores
 from assaylake.llm.sharding import balanced_shards
 from assaylake.llm.suffix_dedup import removal_digests
 from assaylake.llm.token_output import token_digests
@@ -70,6 +71,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +88,7 @@ QUERIES = {
         op8_ngram_join,
         op9_fingerprints,
         op10_mixing,
+        op11_quality_classifier,
         op1_short_runs,
         op3_license_layouts,
     )
