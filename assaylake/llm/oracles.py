@@ -1,5 +1,6 @@
 """SQL for the operators that SQL can express."""
 
+from assaylake.llm.dual_tree_search import TOP
 from assaylake.llm.license_scan import TEMPLATES, THRESHOLD
 from assaylake.llm.line_dedup import RUN_LINES
 from assaylake.llm.ngram_join import PERCENT, WORDS
@@ -135,9 +136,34 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(r.b) AS compo
 FROM documents d LEFT JOIN size s ON s.doc_id = d.doc_id JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, n"""
 
 
+def search_sql(top: int = TOP) -> str:
+    terms = (
+        "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"
+    )
+    return f"""
+WITH word AS (SELECT doc_id, {terms} FROM documents),
+size AS (SELECT doc_id, count(*) AS n FROM word GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM size),
+wanted AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {terms} FROM benchmark)),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM word SEMI JOIN wanted USING (term) GROUP BY doc_id, term),
+weight AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY term
+), value AS (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // length)))) AS part
+    FROM tf JOIN size USING (doc_id) JOIN weight USING (term), corpus
+), scored AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM wanted JOIN value USING (term) GROUP BY item_id, doc_id),
+placed AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= {top}"""
+
+
 SQL = {
     "op1_line_dedup": line_dedup_sql(),
     "op3_license_scan": license_sql(),
     "op4_quality_rules": quality_sql(),
     "op8_ngram_join": ngram_sql(),
+    "op13_ranked_search": search_sql(),
 }
