@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from assaylake.llm import oracles
 from assaylake.llm.common import documents
+from assaylake.llm.conversation_repair import repaired
 from assaylake.llm.dual_tree_search import ranked_search
 from assaylake.llm.fingerprints import document_fingerprints
 from assaylake.llm.license_scan import license_scan
@@ -76,6 +77,10 @@ def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repaired(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
@@ -94,6 +99,7 @@ QUERIES = {
         op9_fingerprints,
         op10_mixing,
         op11_quality_classifier,
+        op12_conversation_repair,
         op13_ranked_search,
         op1_short_runs,
         op3_license_layouts,
