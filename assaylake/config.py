@@ -68,6 +68,9 @@ class EngineConfig:
     # Most partitions a shuffle may start with; a cluster that handles more small blocks may raise it.
     most_shuffle_partitions: int = 200_000
 
+    # Rows that one hash bucket of a maintained table should hold.
+    rows_per_bucket: int = 2_000_000
+
     cdm_source: CdmSourceInfo = field(default_factory=CdmSourceInfo)
 
     @property

@@ -56,6 +56,12 @@ def _address_text() -> Column:
     return joined_key(*[F.col(a) for a in ADDRESS])
 
 
+def address_key() -> Column:
+    """The location of a staged patient; NULL without any address part."""
+    parts = [F.nullif(F.col(a), F.lit("")) for a in ADDRESS]
+    return F.when(F.coalesce(*parts).isNotNull(), surrogate_key(joined_key(*parts)))
+
+
 def _blank_as_null(patients: DataFrame) -> DataFrame:
     return patients.withColumns({a: F.nullif(F.col(a), F.lit("")) for a in ADDRESS})
 
@@ -439,7 +445,11 @@ def omop_observation(ws: Workspace) -> DataFrame:
 
 def omop_fact_relationship(ws: Workspace) -> DataFrame:
     """Each measurement with its specimen, in both directions, from one pass over measurement."""
-    linked = ws.model("omop_measurement").filter(F.col("specimen_id").isNotNull())
+    return relationships(ws.model("omop_measurement"))
+
+
+def relationships(measurements: DataFrame) -> DataFrame:
+    linked = measurements.filter(F.col("specimen_id").isNotNull())
 
     def link(domain_1: int, fact_1: str, domain_2: int, fact_2: str, relationship: int) -> Column:
         return F.struct(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,10 @@ from pyspark.sql import functions as F
 
 from assaylake.config import REQUIRED_RESOURCE_TYPES, REQUIRED_VOCABULARY_TABLES, RESOURCE_TYPES, EngineConfig
 from assaylake.functions.scalars import surrogate_key
-from assaylake.plans.build import (
-    MARTS,
-    STORED_LOOKUPS,
-    adopt_stored,
-    build_all,
-    refresh_measurement,
-    refresh_observation_versions,
-    store_model,
-    store_observation_versions,
-)
+from assaylake.plans.build import MARTS, adopt_stored, build_all, build_changes
+from assaylake.plans.maintain import Lake, Report
 from assaylake.quality import checks, stages
 from assaylake.schemas.cdm import Catalogue, built_in_catalogue
-from assaylake.schemas.raw import RUN_DATE
 from assaylake.session import is_stored, sized_shuffles, stored_bytes
 from assaylake.sinks.raw import load_run
 from assaylake.sinks.reports import report_sink
@@ -33,39 +23,20 @@ START_AND_END = {
     "omop_visit_occurrence": ("visit_start_date", "visit_end_date"),
     "omop_visit_detail": ("visit_detail_start_date", "visit_detail_end_date"),
 }
-BEFORE_MEASUREMENT = ("omop_location", "omop_person", "omop_visit_occurrence", "omop_visit_detail", "omop_specimen")
-AFTER_MEASUREMENT = ("omop_observation", "omop_fact_relationship", "omop_cdm_source")
 
 
-def build(ws: Workspace, root: str, full_refresh: bool = False, days: Sequence[str] | None = None) -> None:
-    """All CDM tables; measurement and the staged observations incrementally, unless a full refresh is asked for.
+def build(ws: Workspace, root: str, full_refresh: bool = False, days: Sequence[str] | None = None) -> Report | None:
+    """All CDM tables: by changes, or whole where a full refresh is asked for or nothing was stored before.
 
-    ``days`` are the run dates loaded since the last build: only their raw observations are read. Without them the
-    staged observations are built from all raw ones.
-    Where no measurement table was ever stored, the first run builds everything.
+    ``days`` are the run dates loaded since the last build: only their raw rows are read. Without them the stored
+    relations are compared with all raw rows. Returns what changed, if it went by changes.
     """
     staging, cdm = f"{root}/staging", f"{root}/cdm"
     with sized_shuffles(ws.spark, stored_bytes(ws.spark, f"{root}/raw"), ws.config.most_shuffle_partitions):
-        if full_refresh or not (is_stored(ws.spark, f"{cdm}/measurement") and is_stored(ws.spark, f"{staging}/observation_versions")):
+        if full_refresh or not Lake(ws, staging, cdm).exists():
             build_all(ws, staging, cdm)
-            return
-        # The stored measurement is the upsert target.
-        target = ws.model("omop_measurement").schema
-        stored = ws.spark.read.schema(target).parquet(f"{cdm}/measurement")
-        changed = None
-        if days is None:
-            store_observation_versions(ws, staging)
-        else:
-            versions = refresh_observation_versions(ws, staging, days)
-            changed = versions.filter(F.col(RUN_DATE).isin([datetime.date.fromisoformat(day) for day in days]))
-        for name in STORED_LOOKUPS:
-            store_model(ws, name, staging)
-        for name in BEFORE_MEASUREMENT:
-            store_model(ws, name, cdm)
-        ws.adopt("omop_measurement", stored)
-        refresh_measurement(ws, cdm, changed=changed)
-        for name in AFTER_MEASUREMENT:
-            store_model(ws, name, cdm)
+            return None
+        return build_changes(ws, staging, cdm, days)
 
 
 def check_all(ws: Workspace, catalogue: Catalogue | None = None) -> DataFrame:

@@ -92,7 +92,7 @@ def _referenced(member: str) -> Column:
     return reference_id(j.text(F.col(member)["reference"]))
 
 
-def stg_patient(ws: Workspace) -> DataFrame:
+def stg_patient(ws: Workspace, origin: bool = False) -> DataFrame:
     identifier = j.first(F.col("identifier"))
     address = j.first(F.col("address"))
     single = ws.config.accept_single_coding_extension
@@ -114,10 +114,11 @@ def stg_patient(ws: Workspace) -> DataFrame:
             "race_code": j.extension_code(F.col("extension"), RACE_URL, single),
             "ethnicity_code": j.extension_code(F.col("extension"), ETHNICITY_URL, single),
         },
+        origin,
     )
 
 
-def stg_encounter(ws: Workspace) -> DataFrame:
+def stg_encounter(ws: Workspace, origin: bool = False) -> DataFrame:
     return _staged(
         ws.raw("Encounter"),
         ENCOUNTER,
@@ -131,10 +132,11 @@ def stg_encounter(ws: Workspace) -> DataFrame:
             "status": j.text(F.col("status")),
             "service_provider_ref": _referenced("serviceProvider"),
         },
+        origin,
     )
 
 
-def stg_specimen(ws: Workspace) -> DataFrame:
+def stg_specimen(ws: Workspace, origin: bool = False) -> DataFrame:
     collection = F.col("collection")
     return _staged(
         ws.raw("Specimen"),
@@ -149,10 +151,11 @@ def stg_specimen(ws: Workspace) -> DataFrame:
             "body_site_snomed_code": j.code_for_system(collection["bodySite"]["coding"], SNOMED_URI),
             "status": j.text(F.col("status")),
         },
+        origin,
     )
 
 
-def stg_diagnostic_report(ws: Workspace) -> DataFrame:
+def stg_diagnostic_report(ws: Workspace, origin: bool = False) -> DataFrame:
     codings = F.col("code")["coding"]
     # No array holds a NULL element: results without a usable reference are left out.
     children = F.filter(
@@ -174,6 +177,7 @@ def stg_diagnostic_report(ws: Workspace) -> DataFrame:
             "child_observation_ids": F.coalesce(children, F.expr("array()").cast("array<string>")),
             "status": j.text(F.col("status")),
         },
+        origin,
     )
 
 
@@ -265,7 +269,11 @@ def stg_observation_lab(ws: Workspace) -> DataFrame:
 
 
 def stg_observation_nonlab(ws: Workspace) -> DataFrame:
-    return ws.model("observation_versions").filter("not is_lab").select(
+    return other_half(ws.model("observation_versions"))
+
+
+def other_half(versions: DataFrame) -> DataFrame:
+    return versions.filter("not is_lab").select(
         "fhir_observation_id",
         "patient_ref",
         "encounter_ref",

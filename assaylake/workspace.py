@@ -20,7 +20,7 @@ class Workspace:
     """Inputs by name plus a registry of models.
 
     A model is computed on first use and remembered as a lazy DataFrame. ``adopt`` replaces it by a
-    stored table, after which every later model reads the table instead of recomputing the plan.
+    stored table, after which every model asked for later reads the table instead of recomputing the plan.
     """
 
     def __init__(
@@ -80,8 +80,9 @@ class Workspace:
         return self._models[name]
 
     def adopt(self, name: str, stored: DataFrame) -> None:
-        self._models[name] = stored
         self._adopted.add(name)
+        # Other models may have been planned over what this one was before.
+        self._models = {k: v for k, v in self._models.items() if k in self._adopted} | {name: stored}
 
     def replaced(self, models: Mapping[str, DataFrame]) -> Workspace:
         """The same inputs and models, with some models replaced."""
@@ -90,6 +91,10 @@ class Workspace:
         other._concept_counts = self._concept_counts
         return other
 
+    def over(self, narrowed: Callable[[DataFrame], DataFrame]) -> Workspace:
+        """The same inputs with every raw table cut by ``narrowed``; no model is taken over."""
+        return Workspace(self.spark, lambda name: narrowed(self._raw(name)), self._vocabulary, self.config, self._seeds)
+
     def is_adopted(self, name: str) -> bool:
         return name in self._adopted
 
