@@ -134,7 +134,7 @@ class KeyedStore(_Store):
     """Rows in hash buckets with an index of their keys; ``schema`` is that of the rows, without the bucket."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, rows_per_bucket: int):
-        self.columns, self.key, self.order = schema.names, key, (key,)
+        self.columns, self.rows_schema, self.key, self.order = schema.names, schema, key, (key,)
         self.rows_per_bucket = rows_per_bucket
         self.table = SnapshotTable(spark, path, T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]), BUCKET)
 
@@ -209,7 +209,7 @@ class DayStore(_Store):
     """Rows in a folder per day, ordered by the cluster columns."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, day: str, cluster_by: Sequence[str] = ()):
-        self.columns, self.key, self.order = schema.names, key, tuple(cluster_by)
+        self.columns, self.rows_schema, self.key, self.order = schema.names, schema, key, tuple(cluster_by)
         self.table = SnapshotTable(spark, path, schema, day)
 
     def crowded(self, base: Snapshot, touched: Sequence[Entry], news: DataFrame) -> list[Entry]:
