@@ -14,6 +14,7 @@ from assaylake.plans.build import MARTS, adopt_stored, build_all, build_changes
 from assaylake.plans.maintain import Lake, Report
 from assaylake.quality import checks, stages
 from assaylake.schemas.cdm import Catalogue, built_in_catalogue
+from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS
 from assaylake.session import is_stored, sized_shuffles, stored_bytes
 from assaylake.sinks.raw import load_run
 from assaylake.sinks.reports import report_sink
@@ -43,16 +44,16 @@ def check_all(ws: Workspace, catalogue: Catalogue | None = None) -> DataFrame:
     """Every generic check over the workspace's models: check, table_name, column_name, failed, total."""
     catalogue = catalogue or built_in_catalogue()
     tables = {name.removeprefix("omop_"): ws.model(name) for name in MARTS}
-    vocabulary = {name: ws.vocabulary(name) for name in ("concept", "vocabulary", "domain", "concept_class", "concept_relationship", "relationship")}
+    vocabulary = ws.vocabularies(VOCABULARY_SCHEMAS)
     parts = [
         stages.unique_checks(ws),
         stages.not_null_checks(ws),
         stages.person_relationship_checks(ws),
         stages.seed_combination_check(ws),
         checks.check_required_fields(tables, catalogue),
-        checks.check_primary_keys(tables, catalogue),
+        checks.check_primary_keys(tables | vocabulary, catalogue),
         checks.check_foreign_keys(tables | vocabulary, catalogue),
-        checks.check_concepts_valid(tables, vocabulary["concept"], catalogue),
+        checks.check_concepts_valid(tables, ws.vocabulary("concept"), catalogue),
         checks.check_lost_rows(
             ws.model("stg_observation_lab"), "stg_observation_lab", surrogate_key(F.col("patient_ref")), ws.model("omop_person")
         ),
@@ -106,7 +107,7 @@ def verdicts(ws: Workspace, completed: list[str]) -> DataFrame:
     """The four exit criteria of a first run."""
     named = [
         stages.raw_tables({name: ws.raw(name) for name in REQUIRED_RESOURCE_TYPES}),
-        stages.vocabulary_tables({name: ws.vocabulary(name) for name in REQUIRED_VOCABULARY_TABLES}),
+        stages.vocabulary_tables(ws.vocabularies(REQUIRED_VOCABULARY_TABLES)),
         stages.exit_counts(ws),
         stages.measurement_gaps(ws),
         stages.observation_gaps(ws),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.config import REQUIRED_RESOURCE_TYPES, REQUIRED_VOCABULARY_TABLES
-from assaylake.quality.checks import check_not_null, check_relationship, check_unique, check_unique_combination, union_all
+from assaylake.quality.checks import check_keys, check_not_null, check_relationship, check_unique_combination, union_all
 from assaylake.schemas.raw import FILE_URI, RUN_DATE
 from assaylake.sources.ndjson import resource_type_of
 from assaylake.workspace import Workspace
@@ -57,9 +57,9 @@ PERSON_FACTS = (
 
 def unique_checks(ws: Workspace) -> DataFrame:
     keys = {**STAGING_KEYS, **MART_KEYS}
-    parts = [check_unique(ws.model(name), name, key) for name, key in keys.items()]
-    parts.append(check_unique(ws.seed("unit"), "seed_unit", "source_unit"))
-    return union_all(parts)
+    wanted = [(name, key, ws.model(name)) for name, key in keys.items()]
+    wanted.append(("seed_unit", "source_unit", ws.seed("unit")))
+    return check_keys(wanted).filter("check = 'unique'")
 
 
 def not_null_checks(ws: Workspace) -> DataFrame:
@@ -122,11 +122,10 @@ def raw_contract(raw: DataFrame) -> DataFrame:
 
 def _present_and_filled(check: str, tables: Mapping[str, DataFrame], required: Sequence[str]) -> DataFrame:
     """One row: how many required tables are missing or empty, and whether none is."""
-    spark = next(iter(tables.values())).sparkSession
-    found = union_all(
-        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
-    )
+    spark = SparkSession.active()
+    found = spark.createDataFrame([], "table_name string, row_count long")
+    for name, df in tables.items():
+        found = found.unionByName(df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count"))
     wanted = spark.createDataFrame([(t,) for t in required], "table_name string")
     joined = wanted.join(found, "table_name", "left")
     missing = F.count_if(F.col("row_count").isNull())

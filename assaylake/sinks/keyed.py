@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assaylake.functions.bitmaps import is_set
 from assaylake.session import remove_scratch, scratch_path
 from assaylake.sinks.snapshots import GENERATION, Entry, Snapshot, SnapshotTable
 
@@ -259,8 +260,3 @@ def key_index(keys: DataFrame, key: str, words: int) -> DataFrame:
     column = F.col(key)
     spread = keys.select(BUCKET, word_of(column, F.lit(words)).alias("word"), F.explode(F.array(*bits_of(column))).alias("_bit"))
     return spread.groupBy(BUCKET, "word").agg(F.bitmap_construct_agg("_bit").alias("bits"))
-
-
-def is_set(bits: Column, position: Column) -> Column:
-    octet = F.conv(F.hex(F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.getbit(octet, (position % 8).cast("int")) == 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from assaylake.config import EngineConfig
 from assaylake.schemas.raw import RAW
 from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS
+from assaylake.session import is_stored
 from assaylake.sources.seeds import default_test_seed, default_unit_seed
 
 Reader = Callable[[str], DataFrame]
@@ -39,12 +40,13 @@ class Workspace:
         self._models: dict[str, DataFrame] = {}
         self._adopted: set[str] = set()
         self._concept_counts: dict[str, int] | None = None
+        self._absent: frozenset[str] = frozenset()
 
     @classmethod
     def at(cls, spark: SparkSession, root: str, config: EngineConfig | None = None, **seeds: DataFrame) -> Workspace:
         """Workspace over tables stored under ``root`` (``raw/<Type>``, ``vocabulary/<table>``).
 
-        A resource type that was never landed is an empty table.
+        A resource type that was never landed is an empty table, and so is a vocabulary file that was not loaded.
         """
 
         def raw(resource_type: str) -> DataFrame:
@@ -56,9 +58,13 @@ class Workspace:
                 return spark.createDataFrame([], RAW)
 
         def vocabulary(table: str) -> DataFrame:
+            if not is_stored(spark, f"{root}/vocabulary/{table}"):
+                return spark.createDataFrame([], VOCABULARY_SCHEMAS[table])
             return spark.read.schema(VOCABULARY_SCHEMAS[table]).parquet(f"{root}/vocabulary/{table}")
 
-        return cls(spark, raw, vocabulary, config, seeds)
+        workspace = cls(spark, raw, vocabulary, config, seeds)
+        workspace._absent = frozenset(t for t in VOCABULARY_SCHEMAS if not is_stored(spark, f"{root}/vocabulary/{t}"))
+        return workspace
 
     def raw(self, resource_type: str) -> DataFrame:
         return self._raw(resource_type)
@@ -66,6 +72,10 @@ class Workspace:
     def vocabulary(self, table: str) -> DataFrame:
         return self._vocabulary(table)
 
+    def vocabularies(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """Those of these vocabulary tables that are there."""
+        return {name: self.vocabulary(name) for name in names if name not in self._absent}
+
     def seed(self, name: str) -> DataFrame:
         if name not in self._seeds:
             default = {"test": default_test_seed, "unit": default_unit_seed}[name]

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from assaylake.functions import json as j
-from assaylake.operators.versions import updated_since
+from assaylake.operators.versions import latest_version, updated_since
 from assaylake.plans.marts import measurement_since
 from assaylake.schemas.raw import RUN_DATE as RUN_DATE_COLUMN
 from assaylake.session import scratch_path
+from assaylake.sinks.keyed import DayStore, KeyedStore, differences
 from assaylake.sinks.raw import raw_append, raw_read, raw_replace
 from assaylake.sinks.upsert import merge_by_key
 from contract.adapter import RUN_DATE
@@ -81,3 +82,54 @@ def _replaced(t):
 query("since_window", f"SELECT oid, l_shipdate AS last_updated FROM versions WHERE l_shipdate >= TIMESTAMP '{MARK}'")(
     lambda t: updated_since(t.raw("Observation"), mark()).select(F.col("resource_id").alias("oid"), "last_updated")
 )
+
+
+# ---- maintained tables -----------------------------------------------------------------------
+
+NEWEST = "SELECT oid, max(l_shipdate) AS last_updated FROM versions GROUP BY oid"
+
+
+def _maintained(t):
+    """A keyed store of the versions known some days after the mark, then what arrived since the mark taken in."""
+    newest = latest_version(t.raw("Observation")).select(F.col("resource_id").alias("oid"), "last_updated")
+    known = newest.filter(F.col("last_updated") < mark() + F.expr("interval 200 days")).withColumn("state", F.lit("stale"))
+    arrived = newest.filter(F.col("last_updated") >= mark()).withColumn("state", F.lit("fresh"))
+    store = KeyedStore(t.spark, scratch_path(t.spark, "maintained"), known.schema, "oid", 20_000)
+    first = store.replace(known)
+    changes = store.kept_changes(differences(store.rows_of(arrived, first), arrived, "oid", store.columns, store.place))
+    return store, first, changes, store.take_in(changes, first)
+
+
+query("maintained_versions", f"SELECT oid, last_updated, CASE WHEN last_updated >= TIMESTAMP '{MARK}' THEN 'fresh' ELSE 'stale' END AS state FROM ({NEWEST})")(
+    lambda t: _maintained(t)[0].read()
+)
+query("pinned_version", f"SELECT oid, last_updated, 'stale' AS state FROM ({NEWEST}) WHERE last_updated < TIMESTAMP '{MARK}' + INTERVAL 200 DAY")(
+    lambda t: (lambda store, first, *_: store.read(first))(*_maintained(t))
+)
+query(
+    "change_kinds",
+    f"""SELECT CASE WHEN last_updated < TIMESTAMP '{MARK}' + INTERVAL 200 DAY THEN 'changed' ELSE 'inserted' END AS kind, count(*) AS n_rows
+        FROM ({NEWEST}) WHERE last_updated >= TIMESTAMP '{MARK}' GROUP BY 1""",
+)(lambda t: _maintained(t)[2].rows.groupBy("kind").agg(F.count("*").alias("n_rows")))
+
+
+def _moved(t):
+    """Orders by month: every tenth customer's move to the next month, those of every eleventh are withdrawn."""
+    orders = t.base("orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")
+    )
+    store = DayStore(t.spark, scratch_path(t.spark, "months"), orders.schema, "o_orderkey", "month", ["o_custkey"])
+    first = store.replace(orders)
+    touched = orders.filter("o_custkey % 10 = 0 or o_custkey % 11 = 0")
+    new = touched.filter("o_custkey % 11 <> 0").withColumn("month", F.add_months("month", 1))
+    changes = store.kept_changes(differences(store.rows_of(touched, first), new, "o_orderkey", store.columns, store.place))
+    store.take_in(changes, first)
+    return store.read()
+
+
+query(
+    "maintained_days",
+    """SELECT o_orderkey, o_custkey, o_orderstatus,
+        CAST(date_trunc('month', CAST(o_orderdate AS DATE)) + CASE WHEN o_custkey % 10 = 0 THEN INTERVAL 1 MONTH ELSE INTERVAL 0 MONTH END AS DATE) AS month
+        FROM orders WHERE o_custkey % 11 <> 0""",
+)(lambda t: _moved(t))

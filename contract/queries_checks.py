@@ -10,7 +10,7 @@ from assaylake.schemas.cdm import built_in_catalogue
 from assaylake.sources.seeds import TEST_ROWS, UNIT_ROWS
 from contract.adapter import Tables
 from contract.queries_models import RAW_COUNTS
-from contract.registry import query
+from contract.registry import ORACLES, query
 
 SEED_UNIT = f"(VALUES {', '.join(map(str, UNIT_ROWS))}) AS u(source_unit, target_concept_id)"
 SEED_TEST = f"(SELECT code FROM local_tests UNION ALL SELECT c FROM (VALUES {', '.join(str((r[0],))[:-2] + ')' for r in TEST_ROWS)}) AS t(c))"
@@ -219,35 +219,51 @@ CONCEPT_IDS = (
     "SELECT concept_id FROM concepts UNION ALL SELECT * FROM (VALUES (8840), (9840), (8848), (8507), (8532), (8527), "
     "(38003563), (9201), (9202), (9203), (9204), (4171756), (4171754), (4172704), (4171755), (4172703)) AS k(concept_id)"
 )
+# The vocabulary tables' keys in SQL.
+VOCABULARY_SOURCES = {
+    "concept": f"(SELECT concept_id, 'Metadata' AS domain_id, 'LOINC' AS vocabulary_id, 'Term' AS concept_class_id FROM ({CONCEPT_IDS}))",
+    "concept_relationship": """(SELECT 1000000 + p_partkey AS concept_id_1, 1000000 + p_partkey + step AS concept_id_2, 'Maps to' AS relationship_id
+        FROM part, (VALUES (1), (2)) AS s(step) WHERE p_size % 5 = 0 AND (step = 1 OR p_partkey % 13 = 0))""",
+    "concept_ancestor": "(SELECT 1000000 + p_partkey AS ancestor_concept_id, 1000001 + p_partkey AS descendant_concept_id FROM part)",
+    "concept_synonym": "(SELECT 1000000 + p_partkey AS concept_id, 4180186 AS language_concept_id FROM part)",
+    "concept_class": "(SELECT n_name AS concept_class_id, n_nationkey AS concept_class_concept_id FROM nation)",
+    "domain": "(SELECT r_name AS domain_id, r_regionkey AS domain_concept_id FROM region)",
+    "drug_strength": """(SELECT 1000000 + p_partkey AS drug_concept_id, 1000001 + p_partkey AS ingredient_concept_id, 8840 AS amount_unit_concept_id,
+        CAST(NULL AS BIGINT) AS numerator_unit_concept_id, CAST(NULL AS BIGINT) AS denominator_unit_concept_id FROM part)""",
+    "relationship": "(SELECT 'Relation ' || n_nationkey AS relationship_id, n_nationkey AS relationship_concept_id FROM nation)",
+    "vocabulary": "(SELECT r_name AS vocabulary_id, r_regionkey AS vocabulary_concept_id FROM region)",
+}
+
+
+def source(table):
+    """Rows of a mart or vocabulary table in SQL."""
+    wide = {"measurement": "measurements", "observation": "other_observations"}
+    return VOCABULARY_SOURCES.get(table) or wide.get(table) or f"({ORACLES['omop_' + table]})"
+
+
+def every_table(t):
+    return marts(t) | {name: t.vocabulary(name) for name in VOCABULARY_SOURCES}
+
 
+def made(fk):
+    """Whether a foreign key's columns and parent are among the tables built here."""
+    tables = {m.removeprefix("omop_") for m in MARTS} | set(VOCABULARY_SOURCES)
+    return fk.table in tables and fk.parent in tables and not (fk.table == "measurement" and fk.column in _NOT_MADE)
 
-def orphans(check, table, column, source):
+
+def strays(check, fk):
     return (
-        f"SELECT '{check}' AS \"check\", '{table}' AS table_name, '{column}' AS column_name, "
-        f"count(*) FILTER ({column} IS NOT NULL AND {column} NOT IN ({CONCEPT_IDS})) AS failed, "
-        f"count({column}) AS total FROM {source}"
+        f"SELECT '{check}' AS \"check\", '{fk.table}' AS table_name, '{fk.column}' AS column_name, "
+        f"count(*) FILTER ({fk.column} IS NOT NULL AND {fk.column} NOT IN (SELECT p.{fk.parent_column} FROM {source(fk.parent)} AS p)) AS failed, "
+        f"count({fk.column}) AS total FROM {source(fk.table)} AS c"
     )
 
 
-MEASUREMENT_CONCEPTS = (
-    "measurement_concept_id measurement_type_concept_id operator_concept_id value_as_concept_id unit_concept_id "
-    "measurement_source_concept_id"
-).split()
-OBSERVATION_CONCEPTS = (
-    "observation_concept_id observation_type_concept_id value_as_concept_id qualifier_concept_id unit_concept_id "
-    "observation_source_concept_id obs_event_field_concept_id"
-).split()
+_NOT_MADE = ("unit_source_concept_id", "measurement_event_id", "meas_event_field_concept_id")
+FOREIGN = [fk for fk in built_in_catalogue().foreign_keys if made(fk)]
 query(
-    "dq_concept_valid",
-    " UNION ALL ".join(
-        [orphans("concept_valid", "measurement", c, "measurements") for c in MEASUREMENT_CONCEPTS]
-        + [orphans("concept_valid", "observation", c, "other_observations") for c in OBSERVATION_CONCEPTS]
-    ),
-)(
-    lambda t: checks.check_concepts_valid(
-        marts(t, "omop_measurement", "omop_observation"), t.vocabulary("concept"), built_in_catalogue()
-    )
-)
+    "dq_concept_valid", " UNION ALL ".join(strays("concept_valid", fk) for fk in FOREIGN if fk.parent == "concept" and fk.table != "concept")
+)(lambda t: checks.check_concepts_valid(every_table(t), t.vocabulary("concept"), built_in_catalogue()))
 query(
     "dq_date_order",
     rows(
@@ -285,37 +301,14 @@ query(
     )
 )
 PRIMARY = [(m.removeprefix("omop_"), k, "0", s) for m, (s, k) in KEYED.items() if m.startswith("omop_")]
+PRIMARY += [(name, built_in_catalogue().primary_keys[name], "0", src) for name, src in VOCABULARY_SOURCES.items() if name in built_in_catalogue().primary_keys]
 query("cdm_primary_keys", rows("unique", PRIMARY) + " UNION ALL " + rows("not_null", PRIMARY))(
-    lambda t: checks.check_primary_keys(marts(t), built_in_catalogue())
+    lambda t: checks.check_primary_keys(every_table(t), built_in_catalogue())
 )
-query(
-    "cdm_foreign_keys",
-    rows(
-        "foreign_key",
-        [
-            ("visit_occurrence", "person_id", "0", "visits"),
-            ("visit_detail", "person_id", "0", "visit_details"),
-            ("specimen", "person_id", "0", "person_specimens"),
-            ("visit_detail", "visit_occurrence_id", "0", "visit_details WHERE visit_occurrence_id IS NOT NULL"),
-            ("person", "location_id", "0", "persons WHERE coalesce(city, state, zip, country) IS NOT NULL"),
-        ],
-    )
-    + "".join(
-        f" UNION ALL SELECT 'foreign_key', '{t}', '{c}', 0, 0"
-        for t, c in (
-            ("visit_occurrence", "preceding_visit_occurrence_id"),
-            ("visit_detail", "preceding_visit_detail_id"),
-            ("visit_detail", "parent_visit_detail_id"),
-        )
-    ),
-)(
-    lambda t: checks.check_foreign_keys(
-        marts(t, "omop_person", "omop_location", "omop_specimen", "omop_visit_occurrence", "omop_visit_detail"),
-        built_in_catalogue(),
-    )
+query("cdm_foreign_keys", " UNION ALL ".join(strays("foreign_key", fk) for fk in FOREIGN))(
+    lambda t: checks.check_foreign_keys(every_table(t), built_in_catalogue())
 )
 _CDM_MEASUREMENT = built_in_catalogue().schemas["measurement"].names
-_NOT_MADE = ("unit_source_concept_id", "measurement_event_id", "meas_event_field_concept_id")
 query(
     "conform_to_cdm",
     "SELECT "

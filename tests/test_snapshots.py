@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assaylake.functions.bitmaps import bitmaps, holds, is_set
 from assaylake.sinks import keyed
 from assaylake.sinks.keyed import BUCKET, DayStore, KeyedStore, differences, key_index
 from assaylake.sinks.snapshots import NOTHING, Entry, SnapshotTable, WriteConflict
@@ -80,7 +81,7 @@ def test_the_index_misses_no_key_and_finds_few_strangers(spark):
     asked = spark.range(40_000).select(F.concat(F.lit("k"), "id").alias("id"), (F.col("id") < 20_000).alias("held"))
     bits = keyed.bits_of(F.col("id"))
     asked = asked.select("held", keyed.word_of(F.col("id"), F.lit(words)).alias("word"), bits[0].alias("a"), bits[1].alias("b"))
-    met = asked.join(index, "word").groupBy("held").agg(F.sum((keyed.is_set(F.col("bits"), F.col("a")) & keyed.is_set(F.col("bits"), F.col("b"))).cast("long")).alias("n"))
+    met = asked.join(index, "word").groupBy("held").agg(F.sum((is_set(F.col("bits"), F.col("a")) & is_set(F.col("bits"), F.col("b"))).cast("long")).alias("n"))
     found = {r["held"]: r["n"] for r in met.collect()}
     assert found[True] == 20_000 and found[False] < 1_000
 
@@ -119,3 +120,11 @@ def test_many_small_writes_are_folded(spark, tmp_path, kind, monkeypatch):
         snapshot = store.take_in(changes, snapshot)
         assert rows(store.read()) == texts(want)
         assert len(snapshot.generations()) <= 5
+
+
+def test_bit_maps_hold_their_numbers(spark):
+    some = [0, 1, 7, 8, 32_767, 32_768, 32_769, 2_147_483_647, -1, -32_768]
+    maps = bitmaps(spark.createDataFrame([(n,) for n in [*some, None]], "n long"), "n")
+    asked = spark.createDataFrame([(n,) for n in [*some, 2, 9, 65_536, -2, None]], "n long")
+    joined = asked.join(maps, F.bitmap_bucket_number("n") == F.col("bucket"), "left")
+    assert {r["n"]: r["h"] for r in joined.select("n", holds(F.col("bits"), F.col("n")).alias("h")).collect()} == dict.fromkeys(some, True) | dict.fromkeys([2, 9, 65_536, -2, None], False)
