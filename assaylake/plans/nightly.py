@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.config import REQUIRED_RESOURCE_TYPES, REQUIRED_VOCABULARY_TABLES, RESOURCE_TYPES, EngineConfig
@@ -40,8 +40,11 @@ def build(ws: Workspace, root: str, full_refresh: bool = False, days: Sequence[s
         return build_changes(ws, staging, cdm, days)
 
 
-def check_all(ws: Workspace, catalogue: Catalogue | None = None) -> DataFrame:
-    """Every generic check over the workspace's models: check, table_name, column_name, failed, total."""
+def check_all(ws: Workspace, catalogue: Catalogue | None = None, now: Column | None = None) -> DataFrame:
+    """Every generic check over the workspace's models: check, table_name, column_name, failed, total.
+
+    ``now`` is the time that sources are measured against; the current one if not given.
+    """
     catalogue = catalogue or built_in_catalogue()
     tables = {name.removeprefix("omop_"): ws.model(name) for name in MARTS}
     vocabulary = ws.vocabularies(VOCABULARY_SCHEMAS)
@@ -58,6 +61,7 @@ def check_all(ws: Workspace, catalogue: Catalogue | None = None) -> DataFrame:
             ws.model("stg_observation_lab"), "stg_observation_lab", surrogate_key(F.col("patient_ref")), ws.model("omop_person")
         ),
         contract_failures(ws),
+        stages.freshness_checks(ws, REQUIRED_RESOURCE_TYPES, F.current_timestamp() if now is None else now),
     ]
     for name, key in stages.STAGING_KEYS.items():
         parts.append(checks.check_key_collisions(ws.model(name), name, key))
@@ -80,7 +84,7 @@ def contract_failures(ws: Workspace) -> DataFrame:
 
 
 # Checks whose failures are counts to look at; any other failure fails the run.
-REPORTED_ONLY = ("lost_at_person", "concept_valid", "raw_contract")
+REPORTED_ONLY = ("lost_at_person", "concept_valid", "raw_contract", "freshness")
 
 
 def failing(results: DataFrame) -> DataFrame:
@@ -126,7 +130,8 @@ def run_day(
 ) -> DataFrame:
     """Load, build, check and report one day; returns the stored check results of that day.
 
-    ``seeds`` are the site's mappings, ``test`` and ``unit``. Every stage's end is stored.
+    ``seeds`` are the site's mappings, ``test`` and ``unit``. Every stage's end is stored, and the exit criteria as they
+    stand after the day, under ``verdicts``. Sources are late as seen from the end of the day.
     """
     ws = Workspace.at(spark, root, config, **seeds)
     with recorded(ws, root, "parse"):
@@ -135,11 +140,13 @@ def run_day(
         build(ws, root, full_refresh, [run_date])
     stored = Workspace.at(spark, root, config, **seeds)
     adopt_stored(stored, f"{root}/staging", f"{root}/cdm")
-    report_sink(check_all(stored), f"{root}/quality", run_date)
+    end_of_day = F.lit(run_date).cast("timestamp") + F.expr("interval 1 day")
+    report_sink(check_all(stored, now=end_of_day), f"{root}/quality", run_date)
     schema = "check string, table_name string, column_name string, failed long, total long, run_date date"
     results = spark.read.schema(schema).json(f"{root}/quality")
     results = results.filter(F.col("run_date") == F.lit(run_date).cast("date"))
     record_stage(ws, root, "test", failing(results).isEmpty())
+    report_sink(verdicts(stored, completed_stages(stored, root)), f"{root}/verdicts", run_date)
     return results
 
 

@@ -103,6 +103,14 @@ def source_freshness(ws: Workspace, resource_types: Sequence[str], now: Column)
     return aged.withColumn("status", status)
 
 
+def freshness_checks(ws: Workspace, resource_types: Sequence[str], now: Column) -> DataFrame:
+    """Late sources in the form of the generic checks: failed is 1 for one that is too late or empty."""
+    aged = source_freshness(ws, resource_types, now)
+    failed = F.when(F.col("status") == "error", 1).otherwise(0).cast("long")
+    columns = (F.lit("freshness"), F.col("resource_type"), F.lit(RUN_DATE), failed, F.lit(1).cast("long"))
+    return aged.select(*[c.alias(n) for c, n in zip(columns, ("check", "table_name", "column_name", "failed", "total"))])
+
+
 def raw_contract(raw: DataFrame) -> DataFrame:
     """Contract violations per landed file. A missing update time is counted but no violation."""
     expected = resource_type_of(F.col(FILE_URI))

@@ -10,14 +10,17 @@ from assaylake.schemas.raw import FILE_URI, RUN_DATE
 from assaylake.sinks.raw import raw_merge_files
 from assaylake.sources.ndjson import raw_envelope
 
-RUN_DATE_IN_PATH = r"/(\d{4}-\d\d-\d\d)/[^/]+\.ndjson"
+RUN_DATE_IN_PATH = r"/(\d{4}-\d\d-\d\d)/(?:[^/]+/)*[^/]+\.ndjson(?:/[^/]*)?$"
+# A day's files may lie in folders of the day, this deep.
+DEPTH = 3
 
 
 def landing_stream(spark: SparkSession, landing: str, resource_type: str) -> DataFrame:
     """Raw rows of new files of one type; the run date comes from the folder name."""
+    folders = ",".join("/".join("*" * depth) for depth in range(1, DEPTH + 2))
     lines = (
         spark.readStream.format("text")
-        .load(f"{landing}/*/{resource_type}[-.]*ndjson")
+        .load(f"{landing}/{{{folders}}}/{resource_type}[-.]*ndjson")
         .select(F.btrim("value", F.lit(" \t\r\n\f\x0b")).alias("line"), F.col("_metadata.file_path").alias("file_uri"))
         .filter(F.col("line") != "")
     )

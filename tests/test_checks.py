@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from assaylake.config import REQUIRED_VOCABULARY_TABLES
 from assaylake.functions.scalars import surrogate_key
 from assaylake.operators.joins import ambiguous_keys
 from assaylake.plans.build import adopt_stored, refresh_observation_versions
@@ -45,6 +46,47 @@ def test_generic_checks_count_failures(spark):
     assert list(failing(checks.check_date_order(dates, "t", "a", "b")).values()) == [(1, 2)]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_keys_share_one_shuffle(spark):
+    one = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "b")], "k long, t string")
+    none = one.filter("false")
+    keys = [("one", "k", one), ("one", "t", one), ("none", "k", none)]
+    got = checks.check_keys(keys)
+    want = checks.union_all(p for name, key, df in keys for p in (checks.check_unique(df, name, key), checks.check_not_null(df, name, [key])))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert plan(checks.check_keys(keys)).count("Exchange hashpartitioning") == 2
+
+
+def test_concept_ids_are_looked_up_in_bit_maps(spark, monkeypatch):
+    concept = spark.createDataFrame([(1,), (40_000,), (2_000_000_001,), (None,)], "concept_id long")
+    facts_ = spark.createDataFrame([(1, 5), (40_000, None), (7, 2_000_000_001), (None, 40_000)], "measurement_concept_id long, unit_concept_id long")
+    results = checks.check_concepts_valid({"measurement": facts_}, concept, built_in_catalogue())
+    assert "SortMergeJoin" not in plan(results) and plan(results).count("BroadcastHashJoin") == 2
+    assert failing(results) == {("concept_valid", "measurement", "measurement_concept_id"): (1, 3), ("concept_valid", "measurement", "unit_concept_id"): (1, 3)}
+    monkeypatch.setattr(checks, "MOST_BITMAPS", 1)  # too many maps: ids are counted and joined
+    assert failing(checks.check_concepts_valid({"measurement": facts_}, concept, built_in_catalogue())) == failing(results)
+
+
+def test_vocabulary_files_that_were_not_loaded_count_as_missing(spark, tmp_path):
+    root = str(tmp_path)
+    spark.createDataFrame([], VOCABULARY_SCHEMAS["vocabulary"]).write.parquet(f"{root}/vocabulary/vocabulary")
+    ws = Workspace.at(spark, root)
+    assert ws.vocabulary("domain").collect() == [] and ws.vocabulary("domain").schema == VOCABULARY_SCHEMAS["domain"]
+    row = stages.vocabulary_tables(ws.vocabularies(REQUIRED_VOCABULARY_TABLES)).first()
+    assert (row["ok"], row["missing_tables"], row["empty_tables"]) == (False, 3, 1)
+
+
+def test_late_sources_are_reported(spark, workspace):
+    ws = workspace({"Patient": [patient("p")]})
+    at = lambda day: F.lit(day).cast("timestamp")
+    late = stages.freshness_checks(ws, ["Patient", "Specimen"], at("2024-01-03"))
+    assert failing(late) == {("freshness", "Patient", "_ingest_run_date"): (0, 1), ("freshness", "Specimen", "_ingest_run_date"): (1, 1)}
+    assert failing(stages.freshness_checks(ws, ["Patient"], at("2024-01-05")))[("freshness", "Patient", "_ingest_run_date")] == (1, 1)
+
+
 def test_empty_table_still_reports(spark):
     empty = spark.createDataFrame([], "k long, fk long")
     assert list(failing(checks.check_unique(empty, "t", "k")).values()) == [(0, 0)]
@@ -183,6 +225,9 @@ def test_two_days_from_landing_to_report(spark, tmp_path):
     assert ("unique", "omop_measurement", "measurement_id") not in bad
     assert not [key for key in bad if key[0] in ("relationship", "key_collision")]
     assert bad[("required_field", "visit_detail", "visit_occurrence_id")] == 1
+    assert not [key for key in bad if key[0] == "freshness"]
+    stored = {r["criterion"]: r["passed"] for r in spark.read.json(f"{root}/verdicts").filter(f"run_date = '{DAY}'").collect()}
+    assert len(stored) == 4 and stored["raw_tables_loaded"]
 
     later = "2024-02-01T00:00:00Z"
     land(tmp_path, "Observation-0000.ndjson", [observation("b", updated=later, valueString="3", effectiveDateTime="2024-01-31T00:00:00Z"), observation("c", updated=later)], "2024-02-01")
@@ -236,6 +281,9 @@ def test_files_in_folders_of_a_day_are_loaded(spark, tmp_path):
     (folder / "Patient-0001.ndjson").write_text(json.dumps({"id": "2", "resourceType": "Patient"}) + "\n")
     load_run(spark, landing, DAY, str(tmp_path / "raw"))
     assert {r[0] for r in spark.read.parquet(str(tmp_path / "raw" / "Patient")).select("resource_id").collect()} == {"1", "2"}
+    # The stream sees the same files, and their day.
+    land_available(spark, landing, "Patient", str(tmp_path / "streamed"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert {(r[0], str(r[1])) for r in spark.read.parquet(str(tmp_path / "streamed")).select("resource_id", "_ingest_run_date").collect()} == {("1", DAY), ("2", DAY)}
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
