@@ -207,10 +207,11 @@ class KeyedStore(_Store):
 
 
 class DayStore(_Store):
-    """Rows in a folder per day, ordered by the cluster columns."""
+    """Rows in a folder per day; the files of a day hold ranges of the cluster columns that do not overlap."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, day: str, cluster_by: Sequence[str] = ()):
-        self.columns, self.rows_schema, self.key, self.order = schema.names, schema, key, tuple(cluster_by)
+        self.columns, self.rows_schema, self.key = schema.names, schema, key
+        self.order = tuple(dict.fromkeys((*cluster_by, key)))
         self.table = SnapshotTable(spark, path, schema, day)
 
     def crowded(self, base: Snapshot, touched: Sequence[Entry], news: DataFrame) -> list[Entry]:
@@ -228,8 +229,14 @@ class DayStore(_Store):
         return f"{self.table.part}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
 
     def publish(self, rows: DataFrame, base: Snapshot, others: set[Entry]) -> Snapshot:
-        _, entries = self.table.write(rows, self.order)
-        return self.table.publish(base, {*others, *entries})
+        # The rows are made once, although their ranges are sampled first.
+        spark = self.table.spark
+        path = scratch_path(spark, "days")
+        rows.write.parquet(path)
+        _, entries = self.table.write(spark.read.schema(rows.schema).parquet(path), self.order)
+        new = self.table.publish(base, {*others, *entries})
+        remove_scratch(spark, path)
+        return new
 
     def rows_of(self, keys: DataFrame, snapshot: Snapshot) -> DataFrame:
         """Rows of these keys, with their place; ``keys`` names the only day each of them may lie on: (key, day)."""

@@ -128,3 +128,21 @@ def test_bit_maps_hold_their_numbers(spark):
     asked = spark.createDataFrame([(n,) for n in [*some, 2, 9, 65_536, -2, None]], "n long")
     joined = asked.join(maps, F.bitmap_bucket_number("n") == F.col("bucket"), "left")
     assert {r["n"]: r["h"] for r in joined.select("n", holds(F.col("bits"), F.col("n")).alias("h")).collect()} == dict.fromkeys(some, True) | dict.fromkeys([2, 9, 65_536, -2, None], False)
+
+
+def test_the_files_of_a_hot_day_hold_ranges_apart(spark, tmp_path):
+    """Nine tenths of all rows lie on one day: it becomes several files, and one value of the cluster column is in one of them."""
+    hot = spark.range(20_000).select(
+        F.col("id").cast("string"), F.when(F.col("id") % 10 == 0, F.date_add(F.lit("2024-02-01").cast("date"), (F.col("id") % 50).cast("int"))).otherwise(F.lit("2024-01-01").cast("date")).alias("day"), (F.xxhash64("id") % 5000).alias("v")
+    )
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = DayStore(spark, str(tmp_path / "t"), SCHEMA, "id", "day", ["v"])
+        snapshot = store.replace(hot.repartition(7))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    held = store.table.read(entries=snapshot.of_parts(["day=2024-01-01"])).groupBy(F.input_file_name()).agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    ranges = sorted((r["low"], r["high"]) for r in held.collect())
+    assert len(ranges) >= 3 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert store.read().count() == 20_000
