@@ -11,10 +11,14 @@ are equal where a run of common prefixes meets a run of common reversed contexts
 document has it. A splitter is a whole gram and a bucket starts with all suffixes that share it, so the suffixes on
 both sides of a boundary differ in their leading tokens: no match crosses one.
 
-*Hot passages.* A bucket of documents sends a suffix with equal surroundings once, with its first document. Where a
-gram is met in more than ``HOT`` buckets, its strings are sent as suffixes of their own and go to ranges by a hash of
-all their bytes: only equality is asked of them, and equal ones have the same gram, so all of them are sent apart. A
-phrase in a third of all documents, shorter than a string and followed by other text each time, fills no range.
+*What travels.* A suffix carries only the bytes that its strings cover, and a bucket of documents sends suffixes that
+agree in them once, with their first document.
+
+*Hot passages.* Buckets tell with a gram's hash how many suffixes they would send for it. A gram with more than
+``MOST_SUFFIXES``, as many as a range is planned for, would fill a range alone. Its strings are sent apart, by a
+128-bit digest of all their bytes, to ranges of digests: only equality is asked of them, and equal ones have the same
+gram, so all of them are sent apart. A phrase in a third of all documents, shorter than a string and followed by other
+text each time, fills no range, and a passage that many documents copy stays in the suffix order until it would.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.buckets import ANSWER, ASK, answer_totals, answers, asked, bucketed
+from assaylake.llm.buckets import ANSWER, ASK, KEY_BYTES, answers, asked, bucketed
 from assaylake.llm.common import groups_for, text_bytes
 
 # Bytes of a string whose earlier occurrence removes it.
@@ -40,11 +44,14 @@ CONTEXT = BEFORE + LENGTH
 GROUP_TEXT = 2 * 1024 * 1024
 # Text behind one range of gram hashes, and behind one range of suffixes.
 HASHED_TEXT, SORTED_TEXT = 32 * 1024 * 1024, 4 * 1024 * 1024
-# Buckets of documents that share a gram, beyond which its strings are sent apart (at most 255).
-HOT = 200
-# Documents whose anchors are sampled for splitters, and splitters wanted per range.
-SAMPLE_DOCUMENTS = 2_000
+# Suffixes of one gram beyond which its strings are sent apart: those of the text that a range is planned for.
+MOST_SUFFIXES = SORTED_TEXT // 16
+# The sample for splitters: a share of the documents (all of them if they are few), and grams kept of it per range.
+SAMPLE_SHARE, SAMPLE_DOCUMENTS, SAMPLE_GRAMS = 1 / 64, 2_000, 32
 NO_ID = np.iinfo(np.int64).max
+# With the number of suffixes of a key: more than one document of the bucket holds it. Answers about a key.
+SEVERAL = np.uint32(1 << 31)
+SHARED, HOT = 1, 2
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,7 +100,7 @@ class Texts:
         n = len(self.data)
         if n < LENGTH:
             self.anchors, self.keys, self.least = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-            self.hashes = self.keys
+            self.hashes = self.all_hashes = self.keys
             return
         h = gram_hashes(self.data)
         least = _sliding(h, WINDOW, np.minimum)  # by start of a string
@@ -105,7 +112,7 @@ class Texts:
         pad = np.zeros(WINDOW - 1, np.uint64)
         most = _sliding(np.concatenate([pad, least, pad]), WINDOW, np.maximum)
         self.anchors = np.flatnonzero((most == h) & (most != 0))
-        self.hashes, self.least = h[self.anchors], least
+        self.hashes, self.least, self.all_hashes = h[self.anchors], least, h
         # Anchors have small hashes; as keys they are spread evenly again.
         self.keys = self.hashes * _BASE
 
@@ -113,40 +120,104 @@ class Texts:
         return np.searchsorted(self.ends, places, side="right")
 
     def asked_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Different keys and whether one (1) or more (2) documents here hold them."""
-        docs = np.array(self.ids, np.int64)[self.doc_of(self.anchors)] if len(self.anchors) else np.zeros(0, np.int64)
+        """Different keys, and how many suffixes with different surroundings they have here, with ``SEVERAL``."""
+        if not len(self.anchors):
+            return self.keys, np.zeros(0, np.uint32)
+        docs = np.array(self.ids, np.int64)[self.doc_of(self.anchors)]
         order = np.argsort(self.keys)
         keys, docs = self.keys[order], docs[order]
-        if not len(keys):
-            return keys, np.zeros(0, np.uint8)
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])
+        first = np.flatnonzero(new)
         several = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)
-        return keys[first], (1 + several).astype(np.uint8)
-
-    def suffixes(self, totals: np.ndarray) -> dict[str, np.ndarray]:
-        """Anchored suffixes that another document may share: place of each, its surroundings, its strings, its document."""
+        counts = np.diff(np.append(first, len(keys))).astype(np.uint32)
+        often = np.flatnonzero(np.repeat(counts > 1, counts))
+        if len(often):
+            around = self._neighbours(self.anchors[order[often]])
+            run = np.cumsum(new)[often]
+            by = np.lexsort((around, run))
+            fresh = np.concatenate([[True], (run[by][1:] != run[by][:-1]) | (around[by][1:] != around[by][:-1])])
+            counts[counts > 1] = np.add.reduceat(fresh, np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])))
+        return keys[first], counts | np.where(several, SEVERAL, np.uint32(0))
+
+    def _neighbours(self, places: np.ndarray) -> np.ndarray:
+        """A hash of the bytes around a place, from the hashes of grams that cover them."""
+        h = np.zeros(len(places), np.uint64)
+        for step in range(-BEFORE, LENGTH - GRAM + 1, GRAM):
+            h = (h ^ self.all_hashes[np.clip(places + step, 0, len(self.all_hashes) - 1)]) * _BASE
+            h ^= h >> np.uint64(32)
+        return h
+
+    def suffixes(self, heard: np.ndarray) -> dict[str, np.ndarray]:
+        """What another document may share, anchored suffixes first and strings sent apart behind them.
+
+        ``place``, ``doc`` and ``bits`` (one per string: it starts so many bytes before the place) of each; ``around``
+        of the suffixes and ``digest`` of the strings.
+        """
         unique, _ = self.asked_keys()
-        heard = totals[np.searchsorted(unique, self.keys)] if len(unique) else np.zeros(0, np.uint8)
-        shared = heard > 1
-        places, hashes, hot = self.anchors[shared], self.hashes[shared], heard[shared] > HOT
+        answer = heard[np.searchsorted(unique, self.keys)] if len(unique) else np.zeros(0, np.uint8)
+        shared = answer >= SHARED
+        places, hashes, hot = self.anchors[shared], self.hashes[shared], answer[shared] == HOT
         # strings[i, a]: the string that starts ``a`` bytes before the anchor has it as its anchor
         reach = np.concatenate([np.zeros(WINDOW - 1, np.uint64), self.least, np.zeros(LENGTH, np.uint64)])
         strings = sliding_window_view(reach, WINDOW)[places][:, ::-1] == hashes[:, None]
-        # Strings of hot grams become suffixes that start where the string does.
+        # Strings of hot grams are sent by themselves, from where they start.
         rows, a = np.nonzero(strings & hot[:, None])
         apart = np.unique(places[rows] - a)
-        strings = np.concatenate([strings[~hot], np.arange(WINDOW)[None, :].repeat(len(apart), 0) == 0])
-        places = np.concatenate([places[~hot], apart])
-        doc = self.doc_of(places)
+        strings, places = strings[~hot], places[~hot]
         padded = np.concatenate([np.zeros(BEFORE, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
         around = sliding_window_view(padded, CONTEXT)[places]
-        before, after = places - self.begins[doc], self.ends[doc] - places
-        before[len(places) - len(apart) :] = 0
+        most, fewest = WINDOW - 1 - strings[:, ::-1].argmax(1), strings.argmax(1)
         span = np.arange(-BEFORE, LENGTH)
-        around[(span < -before[:, None]) | (span >= after[:, None])] = 0
+        around[(span < -most[:, None]) | (span >= LENGTH - fewest[:, None])] = 0
         bits = (strings.astype(np.uint32) << np.arange(WINDOW, dtype=np.uint32)).sum(1, dtype=np.uint32)
-        is_apart = np.arange(len(places)) >= len(places) - len(apart)
-        return {"place": places, "around": around, "bits": bits, "doc": doc, "apart": is_apart}
+        every = np.concatenate([places, apart])
+        return {
+            "place": every,
+            "doc": self.doc_of(every),
+            "bits": np.concatenate([bits, np.ones(len(apart), np.uint32)]),
+            "around": around,
+            "digest": string_digests(sliding_window_view(padded, LENGTH)[apart + BEFORE]),
+        }
+
+
+def judged(table: pa.Table) -> pa.Table:
+    """For every bucket that asked, whether each of its keys is held by one document, several, or too many for a range."""
+    packed = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
+    keys = np.zeros((len(packed), 8), np.uint8)
+    keys[:, :KEY_BYTES] = packed
+    keys = keys.view(">u8").ravel().astype(np.uint64)
+    counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32)
+    order = np.argsort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+    held = np.diff(np.append(first, len(keys)))
+    several = np.maximum.reduceat(counts[order], first) >= SEVERAL
+    suffixes = np.add.reduceat((counts[order] & ~SEVERAL).astype(np.int64), first)
+    verdict = np.where((held > 1) | several, np.where(suffixes > MOST_SUFFIXES, HOT, SHARED), 0).astype(np.uint8)
+    answer = np.empty(len(keys), np.uint8)
+    answer[order] = np.repeat(verdict, held)
+    bodies = [x.tobytes() for x in np.split(answer, np.cumsum(table["size"].to_numpy())[:-1])]
+    return _answer(table["bucket"], 0, table["part"], bodies)
+
+
+def _answer(bucket, kind: int, part, bodies: list[bytes]) -> pa.Table:
+    kinds = pa.array([kind] * len(bodies), pa.int32())
+    columns = [bucket.combine_chunks(), kinds, part.combine_chunks(), pa.array(bodies, pa.binary())]
+    return pa.Table.from_arrays(columns, names=["bucket", "kind", "part", "body"])
+
+
+def string_digests(strings: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of every row of bytes."""
+    padded = np.zeros((len(strings), -(-strings.shape[1] // 8) * 8), np.uint8)
+    padded[:, : strings.shape[1]] = strings
+    words = padded.view(np.uint64)
+    found = np.zeros((len(strings), 2), np.uint64)
+    for side, factor in enumerate((_BASE, np.uint64(0xD6E8FEB86659FD93))):
+        h = np.full(len(strings), side + 1, np.uint64)
+        for k in range(words.shape[1]):
+            h = (h ^ words[:, k]) * factor
+            h ^= h >> np.uint64(29 + side)
+        found[:, side] = h
+    return found
 
 
 def surroundings_hashes(around: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -158,10 +229,9 @@ def surroundings_hashes(around: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return h
 
 
-def distinct_surroundings(found: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Row of the first of equal surroundings, in an order of their own, and for every suffix the number of its kind."""
-    h = surroundings_hashes(found["around"], found["bits"])
-    _, first, kind = np.unique(h, return_index=True, return_inverse=True)
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row of the first of equals, in an order of their own, and for every row the number of its kind."""
+    _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
     return first, kind
 
 
@@ -231,31 +301,39 @@ def _leading(around: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(around[:, BEFORE : BEFORE + GRAM]).view(f"S{GRAM}").ravel()
 
 
-def ranges_of(around: np.ndarray, bits: np.ndarray, apart: np.ndarray, splitters: np.ndarray, ranges: int) -> np.ndarray:
-    """Range of every suffix: by order of its gram, or by a hash of the whole string where that was sent apart."""
-    if not len(around):
-        return np.zeros(0, np.int64)
-    to = np.searchsorted(splitters, _leading(around), side="right")
-    hashed = (surroundings_hashes(around[apart], bits[apart]) >> np.uint64(16)) % np.uint64(ranges)
-    to[apart] = hashed.astype(np.int64)
-    return to
+def digest_ranges(digest: np.ndarray, ranges: int) -> np.ndarray:
+    """Range of every string sent apart, below those of suffixes."""
+    return -1 - ((digest[:, 1] >> np.uint64(16)) % np.uint64(ranges)).astype(np.int64)
+
+
+def earlier_digests(digest: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For every string sent apart, 1 where a smaller document has the same."""
+    order = np.lexsort((docs, digest[:, 1], digest[:, 0]))
+    ordered = digest[order]
+    new = np.concatenate([[True], (ordered[1:] != ordered[:-1]).any(1)])
+    least = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    earlier = np.zeros(len(docs), np.uint32)
+    earlier[order] = least < docs[order]
+    return earlier
 
 
-def _splitters(docs: DataFrame, ranges: int) -> np.ndarray:
-    """Grams that cut the suffixes of sampled documents into equal ranges."""
+def _splitters(docs: DataFrame, total: int, ranges: int) -> np.ndarray:
+    """Grams that cut the suffixes of sampled documents into equal ranges; the sample grows with the ranges."""
     if ranges < 2:
         return np.zeros(0, f"S{GRAM}")
-    total = docs.count()
-    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = sample.sample(min(1.0, SAMPLE_DOCUMENTS / max(1, total)), seed=7)
+    share = min(1.0, max(SAMPLE_SHARE, SAMPLE_DOCUMENTS / max(1, docs.count())))
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).sample(share, seed=7)
+    # Of some total / 16 anchors in all, the share of those sampled that gives so many grams a range.
+    step = max(1, int(share * total / 16 / (SAMPLE_GRAMS * ranges)))
 
     def run(batches):
         for batch in batches:
             texts = Texts(pa.Table.from_batches([batch]))
-            places = texts.anchors[:: max(1, len(texts.anchors) // 4096)]
+            places = texts.anchors[(texts.keys >> np.uint64(20)) % np.uint64(step) == 0]
             yield pa.RecordBatch.from_arrays([pa.array([texts.data[p : p + GRAM].tobytes() for p in places], pa.binary())], names=["gram"])
 
-    grams = np.sort(np.array([bytes(r["gram"]) for r in sample.mapInArrow(run, "gram binary").collect()], f"S{GRAM}"))
+    found = sample.mapInArrow(run, "gram binary").toArrow()
+    grams = np.sort(np.array(found["gram"].to_pylist(), f"S{GRAM}"))
     if not len(grams):
         return np.zeros(0, f"S{GRAM}")
     return np.unique(grams[[len(grams) * i // ranges for i in range(1, ranges)]])
@@ -277,7 +355,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     buckets = groups_for(total, GROUP_TEXT)
     parts = groups_for(total, HASHED_TEXT)
     ranges = groups_for(total, SORTED_TEXT)
-    splitters = _splitters(docs, ranges)
+    splitters = _splitters(docs, total, ranges)
     dealt = bucketed(docs, buckets).drop("version")
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -287,40 +365,47 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     def prepared(table: pa.Table, heard: pa.Table):
         texts = Texts(table)
         found = texts.suffixes(answers(heard, 0, np.uint8))
-        first, number = distinct_surroundings(found)
+        own = len(found["around"])
+        first, number = distinct(surroundings_hashes(found["around"], found["bits"][:own]))
+        to = np.searchsorted(splitters, _leading(found["around"][first]), side="right") if own else np.zeros(0, np.int64)
+        sent_apart, number_apart = distinct(found["digest"][:, 0])
+        number = np.concatenate([number, len(first) + number_apart])
+        to = np.concatenate([to, digest_ranges(found["digest"][sent_apart], ranges)])
+        first = np.concatenate([first, own + sent_apart])
         docs_of = np.array(texts.ids, np.int64)[found["doc"]] if len(number) else np.zeros(0, np.int64)
         least = np.full(len(first), NO_ID)
         np.minimum.at(least, number, docs_of)
-        to = ranges_of(found["around"][first], found["bits"][first], found["apart"][first], splitters, ranges)
-        by = np.argsort(to, kind="stable")
-        return texts, found, first, number, docs_of, least, to, by
+        return texts, found, first, number, docs_of, least, to, np.argsort(to, kind="stable")
 
     def send(table: pa.Table, heard: pa.Table) -> pa.Table:
         rows = []
         if table.num_rows:
             bucket = table["bucket"][0].as_py()
             _, found, first, _, _, least, to, by = prepared(table, heard)
+            own = len(found["around"])
             squeeze = zstandard.ZstdCompressor(level=3).compress
             cuts = np.flatnonzero(np.concatenate([[True], to[by][1:] != to[by][:-1]])) if len(by) else []
             for part in np.split(by, cuts[1:]) if len(by) else []:
                 at = first[part]
-                rows.append(
-                    (int(to[part[0]]), bucket, len(part), *[squeeze(x.tobytes()) for x in (found["around"][at], found["bits"][at], least[part])])
-                )
+                to_range = int(to[part[0]])
+                if to_range < 0:
+                    bodies = found["digest"][at - own].tobytes(), b"", squeeze(least[part].tobytes())
+                else:
+                    bodies = [squeeze(x.tobytes()) for x in (found["around"][at], found["bits"][at], least[part])]
+                rows.append((to_range, bucket, len(part), *bodies))
         kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=[c.split()[0] for c in SEND.split(", ")])
 
     def compare(table: pa.Table) -> pa.Table:
         expand = zstandard.ZstdDecompressor().decompress
         whole = lambda column: b"".join(expand(b) for b in table[column].to_pylist())
-        around = np.frombuffer(whole("around"), np.uint8).reshape(-1, CONTEXT)
-        bits, first = np.frombuffer(whole("bits"), np.uint32), np.frombuffer(whole("docs"), np.int64)
-        earlier = earlier_strings(around, bits, first)
-        bodies = [x.tobytes() for x in np.split(earlier, np.cumsum(table["size"].to_numpy())[:-1])]
-        return pa.Table.from_arrays(
-            [table["bucket"].combine_chunks(), pa.array([1] * table.num_rows, pa.int32()), table["range"].combine_chunks(), pa.array(bodies, pa.binary())],
-            names=["bucket", "kind", "part", "body"],
-        )
+        first = np.frombuffer(whole("docs"), np.int64)
+        if table["range"][0].as_py() < 0:
+            earlier = earlier_digests(np.frombuffer(b"".join(table["around"].to_pylist()), np.uint64).reshape(-1, 2), first)
+        else:
+            around = np.frombuffer(whole("around"), np.uint8).reshape(-1, CONTEXT)
+            earlier = earlier_strings(around, np.frombuffer(whole("bits"), np.uint32), first)
+        return _answer(table["bucket"], 1, table["range"], [x.tobytes() for x in np.split(earlier, np.cumsum(table["size"].to_numpy())[:-1])])
 
     def remove(table: pa.Table, heard: pa.Table) -> pa.Table:
         out = []
@@ -346,7 +431,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
             [table["doc_id"].combine_chunks(), *[pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
         )
 
-    totals = dealt.groupBy("bucket").applyInArrow(ask, ASK).groupBy("part").applyInArrow(answer_totals, ANSWER)
+    totals = dealt.groupBy("bucket").applyInArrow(ask, ASK).groupBy("part").applyInArrow(judged, ANSWER)
     sent = dealt.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(send, SEND)
     compared = sent.groupBy("range").applyInArrow(compare, ANSWER)
     heard = totals.unionByName(compared)
