@@ -1,13 +1,15 @@
 """Repeated runs of lines, found by winnowing.
 
-The method: lines are hashed; of every ``run_lines`` consecutive hashes the least one (the last of equals) is a
-fingerprint, so any two equal runs of that length share one at the same place. Fingerprints that occur once are
-dropped after a count. Around each remaining position the match is extended to the left and right to every run of
-``run_lines`` lines that selected the fingerprint; equal runs meet by a 128-bit hash of their content, and all but
-the first are deleted. A longer repetition is a chain of such runs and is deleted whole.
-
-With ``short_words``, runs of fewer lines count too where their words reach that number: each is a fingerprint of its
-own, so a long line, or two, are deleted wherever they repeat, and exact copies of such documents go.
+The method: lines are hashed once; of every ``run_lines`` consecutive hashes the least one (the last of equals) is
+selected. A document's selected positions, some two of four, are its fingerprints: any two equal runs of that length select the
+same one at the same place. The positions are stored, counted by fingerprint, and those whose fingerprint occurs at
+one position only are dropped by a join. A match at a joined position extends to the left and right, over the runs
+of ``run_lines`` lines that selected it: partners of a position may agree with it on either side only, so each of
+these runs finds its first occurrence by a 128-bit hash. All but the first are deleted, and runs that overlap or touch
+are one longer repetition. No pairs of positions are formed, so a line that a third of all documents hold costs one row each.
+
+Runs of fewer lines count too where their words reach ``short_words``: each is a fingerprint of its own, so a long
+line, or two, are deleted wherever they repeat, and exact copies of such documents go.
 """
 
 from __future__ import annotations
@@ -33,66 +35,74 @@ def _lines(text: str) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _runs(h: Column, run_lines: int, short_words: int | None) -> Column:
-    """All runs that count: the fingerprint each selects, its start and lines, and a hash of its content."""
-
-    def content(start, members):
-        return [
-            start.alias("start"),
-            F.lit(len(members)).alias("lines"),
-            F.xxhash64(*[m["a"] for m in members]).alias("a"),
-            F.xxhash64(F.lit(1), *[m["b"] for m in members]).alias("b"),
-        ]
+def _positions(h: Column, run_lines: int, short_words: int | None) -> Column:
+    """The fingerprints of a document: hash, and the runs around it that selected it (start, lines, hash of their content)."""
 
     def members(start, lines):
         return [F.get(h, start + F.lit(i)) for i in range(lines)]
 
-    def run(start):
-        found = members(start, run_lines)
-        least = F.array_min(F.array(*[F.struct(m["a"].alias("h"), F.lit(-i).alias("at")) for i, m in enumerate(found)]))
-        return F.struct(least["h"].alias("fingerprint"), *content(start, found))
-
-    def short_run(start, lines):
+    def run(start, lines):
         found = members(start, lines)
-        return F.struct(F.xxhash64(F.lit(lines), *[m["a"] for m in found]).alias("fingerprint"), *content(start, found))
-
-    def enough(start, lines):
-        return sum((m["words"] for m in members(start, lines)), F.lit(0)) >= short_words
+        return F.struct(
+            start.alias("start"),
+            F.lit(lines).alias("lines"),
+            F.xxhash64(*[m["a"] for m in found]).alias("a"),
+            F.xxhash64(F.lit(1), *[m["b"] for m in found]).alias("b"),
+        )
 
     def starts(lines):
         return F.when(F.size(h) >= lines, F.sequence(F.lit(0), F.size(h) - lines)).otherwise(F.array().cast("array<int>"))
 
+    def selected(start):
+        hashes = [F.struct(m["a"].alias("h"), F.lit(-i).alias("at")) for i, m in enumerate(members(start, run_lines))]
+        return start - F.array_min(F.array(*hashes))["at"]
+
+    def extended(chosen):
+        """Every selected position once, with the runs to its left and right that selected it."""
+
+        def position(at):
+            around = F.sequence(F.greatest(at - (run_lines - 1), F.lit(0)), F.least(at, F.size(chosen) - 1))
+            own = F.filter(around, lambda start: F.get(chosen, start) == at)
+            return F.struct(F.get(h, at)["a"].alias("fingerprint"), F.transform(own, lambda start: run(start, run_lines)).alias("runs"))
+
+        return F.transform(F.array_distinct(chosen), position)
+
+    def short_run(start, lines):
+        fingerprint = F.xxhash64(F.lit(lines), *[m["a"] for m in members(start, lines)])
+        return F.struct(fingerprint.alias("fingerprint"), F.array(run(start, lines)).alias("runs"))
+
     def short_runs(lines):
-        worded = F.filter(starts(lines), lambda start: enough(start, lines))
+        worded = F.filter(starts(lines), lambda start: sum((m["words"] for m in members(start, lines)), F.lit(0)) >= short_words)
         return F.transform(worded, lambda start: short_run(start, lines))
 
-    runs = [F.transform(starts(run_lines), run)]
+    found = [let(F.transform(starts(run_lines), selected), extended)]
     if short_words is not None:
-        runs += [short_runs(lines) for lines in range(1, run_lines)]
-    return F.concat(*runs)
+        found += [short_runs(lines) for lines in range(1, run_lines)]
+    return F.concat(*found)
 
 
-def _occurrences(docs: DataFrame, run_lines: int, short_words: int | None) -> DataFrame:
-    """(doc_id, version, fingerprint, start, lines, a, b): every run, with the fingerprint that it extends to both sides."""
+def _fingerprints(docs: DataFrame, run_lines: int, short_words: int | None) -> DataFrame:
+    """(doc_id, version, fingerprint, runs): a row per selected position."""
 
     def hashed(x):
         words = [] if short_words is None else [word_count(x["s"]).alias("words")]
         return F.struct(F.xxhash64(x["s"]).alias("a"), F.xxhash64(F.lit(1), x["s"]).alias("b"), *words)
 
-    runs = let(F.transform(_content(_lines("text")), hashed), lambda h: _runs(h, run_lines, short_words))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("version"), F.explode(runs).alias("run"))
-    return rows.select("doc_id", "version", "run.*")
+    positions = let(F.transform(_content(_lines("text")), hashed), lambda h: _positions(h, run_lines, short_words))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("version"), F.explode(positions).alias("position"))
+    return rows.select("doc_id", "version", "position.*")
 
 
-def repeated_runs(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | None = None) -> DataFrame:
+def repeated_runs(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | None = SHORT_WORDS) -> DataFrame:
     """(doc_id, version, runs): (start, lines) where a run repeats an earlier one, counted in lines with words.
 
     Earlier is by doc_id (null last), then text hash, then place. Equal rows share their places. Of runs that start
     at the same place the longest is given.
     """
-    runs = _occurrences(docs, run_lines, short_words)
-    recurring = runs.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
-    candidates = stored(runs.join(recurring, "fingerprint", "left_semi"), "line-runs")
+    positions = stored(_fingerprints(docs, run_lines, short_words), "line-positions")
+    recurring = positions.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
+    met = positions.join(recurring, "fingerprint", "left_semi")
+    candidates = stored(met.select("doc_id", "version", F.inline("runs")), "line-runs")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version", "start")
     same = ["lines", "a", "b"]
     first = candidates.groupBy(*same).agg(F.min(place).alias("first"), F.max(place).alias("final"))
@@ -107,13 +117,12 @@ def _longest(runs: Column) -> Column:
     return F.filter(runs, lambda r, j: F.coalesce(F.get(runs, j + 1)["start"] != r["start"], F.lit(True)))
 
 
-def line_dedup(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | None = None) -> DataFrame:
+def line_dedup(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | None = SHORT_WORDS) -> DataFrame:
     """Documents with later repeated runs deleted: (doc_id, text, n_lines, n_removed).
 
     ``text`` is the text without the deleted lines; blank lines inside a deleted run go with it and do not count.
     ``n_lines`` counts lines with words. Null text stays null with no lines; an empty or blank text stays as it is;
-    texts under ``run_lines`` lines are only changed with ``short_words``, by which later repeated runs of fewer lines
-    go as well if they have so many words. Repeated rows get the same answer, and an empty table gives
+    later repeated runs of fewer than ``run_lines`` lines go as well if they have ``short_words`` words (None: never). Repeated rows get the same answer, and an empty table gives
     an empty result. A document whose lines all went keeps an empty text.
     """
     return _cleaned(docs.select("doc_id", "text"), run_lines, short_words).select("doc_id", "text", "n_lines", "n_removed")
@@ -122,8 +131,6 @@ def line_dedup(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | N
 def deduplicated(docs: DataFrame, run_lines: int = RUN_LINES, short_words: int | None = SHORT_WORDS) -> DataFrame:
     """The rows of ``docs`` with later repeated runs deleted from ``text`` and ``n_chars`` counted anew.
 
-    Runs of fewer lines are deleted too where they have ``short_words`` words.
-
     A document whose lines with words all went is a repetition and goes; others keep all their columns.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]

@@ -2,29 +2,35 @@
 
 from assaylake.llm.dual_tree_search import TOP
 from assaylake.llm.license_scan import TEMPLATES, THRESHOLD
-from assaylake.llm.line_dedup import RUN_LINES
+from assaylake.llm.line_dedup import RUN_LINES, SHORT_WORDS
 from assaylake.llm.ngram_join import PERCENT, WORDS
 from assaylake.llm.quality_rules import BASE, HOST_LIMIT, LEAST_STRENGTH
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
-def line_dedup_sql(run_lines: int = RUN_LINES) -> str:
-    later = ", ".join(f"lead(s, {i}) OVER w AS s{i}, lead(pos, {i}) OVER w AS pos{i}" for i in range(1, run_lines))
-    keys = ", ".join(f"s{i}" for i in range(1, run_lines))
-    last = run_lines - 1
+def line_dedup_sql(run_lines: int = RUN_LINES, short_words: int = SHORT_WORDS) -> str:
+    def of_lines(n: int) -> str:
+        """Later occurrences of runs of n lines; shorter ones than run_lines need the words."""
+        names = ["s", *[f"s{i}" for i in range(1, n)]]
+        words = " + ".join(["words", *[f"words{i}" for i in range(1, n)]])
+        where = f"{names[-1]} IS NOT NULL" + (f" AND {words} >= {short_words}" if n < run_lines else "")
+        upto = f"pos{n - 1}" if n > 1 else "pos"
+        nth = f"row_number() OVER (PARTITION BY {', '.join(names)} ORDER BY doc_id, pos)"
+        return f"SELECT doc_id, pos, {upto} AS upto, {nth} AS nth FROM run WHERE {where}"
+
+    later = ", ".join(f"lead({c}, {i}) OVER w AS {c}{i}" for i in range(1, run_lines) for c in ("s", "pos", "words"))
+    lengths = " UNION ALL ".join(of_lines(n) for n in range(1, run_lines + 1))
     return f"""
 WITH line AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS pos
     FROM documents WHERE text IS NOT NULL
 ), content AS (
-    SELECT doc_id, pos, trim(line, {_SPACES}) AS s FROM line WHERE trim(line, {_SPACES}) <> ''
+    SELECT doc_id, pos, trim(line, {_SPACES}) AS s, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM line WHERE trim(line, {_SPACES}) <> ''
 ), run AS (
-    SELECT doc_id, pos, s, {later} FROM content WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
-), later AS (
-    SELECT doc_id, pos, pos{last} AS upto, row_number() OVER (PARTITION BY s, {keys} ORDER BY doc_id, pos) AS nth
-    FROM run WHERE s{last} IS NOT NULL
-), gone AS (
+    SELECT doc_id, pos, s, words, {later} FROM content WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), later AS ({lengths}), gone AS (
     SELECT DISTINCT l.doc_id, l.pos FROM line l JOIN later r ON l.doc_id = r.doc_id AND l.pos BETWEEN r.pos AND r.upto WHERE r.nth > 1
 ), kept AS (
     SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text FROM line l ANTI JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos

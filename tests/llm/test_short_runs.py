@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from assaylake.llm.line_dedup import deduplicated, line_dedup
+from assaylake.llm.line_dedup import _fingerprints, deduplicated, line_dedup
 from tests.llm.helpers import WORD, hard_rows, rows, table
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -34,7 +34,7 @@ def line(seed, words):
 def test_a_repeated_line_of_fifty_words_goes(spark):
     texts = [line(1, 50), line(2, 49), line(1, 50), line(2, 49), f"a\n {line(1, 50)} \n\nb", f"{line(3, 25)}\n{line(4, 25)}", f"c\n{line(3, 25)}\n\n{line(4, 25)}\nd"]
     found = rows(*texts)
-    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup(table(spark, found), short_words=50).collect()}
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup(table(spark, found)).collect()}
     assert got == brute(found)
     assert got[2] == ("", 1) and got[3] == (texts[3], 0) and got[4] == ("a\n\nb", 1) and got[6] == ("c\nd", 2)
 
@@ -49,10 +49,21 @@ def test_runs_of_all_lengths_match_brute_force(spark, seed):
     pick = random.Random(seed)
     lines = [line(i, n) for i, n in enumerate([1, 2, 20, 24, 26, 30, 49, 50, 70, 90])] + ["", "  "]
     found = rows(*["\n".join(pick.choice(lines) for _ in range(pick.randint(1, 9))) for _ in range(80)])
-    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup(table(spark, found), short_words=50).collect()}
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup(table(spark, found)).collect()}
     assert got == brute(found)
 
 
 def test_hard_rows_keep_their_number(spark, hard, nothing):
-    assert len(line_dedup(hard, short_words=50).collect()) == len(hard_rows())
-    assert line_dedup(nothing, short_words=50).collect() == []
+    assert len(line_dedup(hard).collect()) == len(hard_rows())
+    assert line_dedup(nothing).collect() == []
+
+
+def test_each_position_is_stored_once_with_the_runs_that_selected_it(spark):
+    """Window minima: fewer positions than runs, no run lost, and every run holds the position that carries it."""
+    found = rows("\n".join(f"line {i * 7919 % 101}" for i in range(60)), "one\ntwo")
+    got = _fingerprints(table(spark, found), 3, 50).collect()
+    starts = sorted(run["start"] for r in got for run in r["runs"])
+    assert starts == list(range(58)) and len(got) < 45 and {r["doc_id"] for r in got} == {0}
+    for r in got:
+        own = [run["start"] for run in r["runs"]]
+        assert own == list(range(own[0], own[0] + len(own))) and len(own) <= 3
