@@ -47,9 +47,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--unit-seed", help="CSV of the site's unit spellings (build, check, day)")
     parser.add_argument("--set", nargs="*", default=[], metavar="NAME=VALUE", help="settings of EngineConfig")
     parser.add_argument("--ddl", nargs="*", help="DDL files of the data model; its tables and keys are checked too (check)")
+    parser.add_argument("--shred-raw", action="store_true", help="store raw documents shredded: smaller files, slower loads (all)")
     args = parser.parse_args(argv)
 
-    spark = configure(SparkSession.builder.appName("assaylake").getOrCreate())
+    spark = configure(SparkSession.builder.appName("assaylake").getOrCreate(), args.shred_raw)
     config = configured(args.set)
     seeds = {}
     if args.test_seed:

@@ -110,7 +110,7 @@ def completed_stages(ws: Workspace, root: str) -> list[str]:
 def verdicts(ws: Workspace, completed: list[str]) -> DataFrame:
     """The four exit criteria of a first run."""
     named = [
-        stages.raw_tables({name: ws.raw(name) for name in REQUIRED_RESOURCE_TYPES}),
+        stages.stored_raw_tables(ws),
         stages.vocabulary_tables(ws.vocabularies(REQUIRED_VOCABULARY_TABLES)),
         stages.exit_counts(ws),
         stages.measurement_gaps(ws),

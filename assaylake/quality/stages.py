@@ -90,7 +90,7 @@ def source_freshness(ws: Workspace, resource_types: Sequence[str], now: Column)
     # Hours after which a source is late, and too late.
     warn_hours, error_hours = 26, 48
     parts = [
-        ws.raw(t).agg(F.max(RUN_DATE).alias("latest")).select(F.lit(t).alias("resource_type"), "latest")
+        ws.raw_counts(t).filter("row_count > 0").agg(F.max(RUN_DATE).alias("latest")).select(F.lit(t).alias("resource_type"), "latest")
         for t in resource_types
     ]
     age = (F.unix_timestamp(now) - F.unix_timestamp(F.col("latest").cast("timestamp"))) / 3600
@@ -129,11 +129,15 @@ def raw_contract(raw: DataFrame) -> DataFrame:
 
 
 def _present_and_filled(check: str, tables: Mapping[str, DataFrame], required: Sequence[str]) -> DataFrame:
-    """One row: how many required tables are missing or empty, and whether none is."""
+    return _counted(check, {name: df.agg(F.count("*").alias("row_count")) for name, df in tables.items()}, required)
+
+
+def _counted(check: str, counts: Mapping[str, DataFrame], required: Sequence[str]) -> DataFrame:
+    """One row: how many required tables are missing or empty, and whether none is. ``counts`` hold one ``row_count`` each."""
     spark = SparkSession.active()
     found = spark.createDataFrame([], "table_name string, row_count long")
-    for name, df in tables.items():
-        found = found.unionByName(df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count"))
+    for name, df in counts.items():
+        found = found.unionByName(df.select(F.lit(name).alias("table_name"), "row_count"))
     wanted = spark.createDataFrame([(t,) for t in required], "table_name string")
     joined = wanted.join(found, "table_name", "left")
     missing = F.count_if(F.col("row_count").isNull())
@@ -150,6 +154,12 @@ def raw_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _present_and_filled("raw_tables", tables, REQUIRED_RESOURCE_TYPES)
 
 
+def stored_raw_tables(ws: Workspace) -> DataFrame:
+    """As ``raw_tables`` for the workspace's own, counted from file footers; a type that was never landed counts as empty."""
+    total = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    return _counted("raw_tables", {t: ws.raw_counts(t).agg(total) for t in REQUIRED_RESOURCE_TYPES}, REQUIRED_RESOURCE_TYPES)
+
+
 def vocabulary_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _present_and_filled("vocab_tables", tables, REQUIRED_VOCABULARY_TABLES)
 

@@ -6,7 +6,7 @@ import contextlib
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -19,17 +19,24 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Staging reads nearly every member of a document: whole documents are stored and extracted
-    # in the projection, where unused members are still pruned.
+    # Whole documents are stored and extracted in the projection, unless raw tables are to be shredded.
     "spark.sql.variant.writeShredding.enabled": "false",
     "spark.sql.variant.inferShreddingSchema": "false",
-    "spark.sql.variant.pushVariantIntoScan": "false",
+    "spark.sql.variant.allowReadingShredded": "true",
+    # Counts from footers (``sources/footers.py``).
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+EXTRACT_IN_SCAN = "spark.sql.variant.pushVariantIntoScan"
+
+
+def configure(spark: SparkSession, shred_raw: bool = False) -> SparkSession:
+    """Set what the engine relies on. With ``shred_raw``, raw tables are written shredded (``sinks/shredding.py``)
+    and extractions are pushed into scans; a lake may hold files of both kinds and is read right either way."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    spark.conf.set(EXTRACT_IN_SCAN, str(shred_raw).lower())
     return spark
 
 
@@ -50,6 +57,22 @@ def is_stored(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """Within the block these settings hold; the session's own are restored afterwards."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @contextlib.contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int, most: int) -> Iterator[int]:
     """Within the block, shuffles start with enough partitions for this much input, at most ``most``.
@@ -58,15 +81,8 @@ def sized_shuffles(spark: SparkSession, input_bytes: int, most: int) -> Iterator
     """
     wanted = min(math.ceil(input_bytes / BYTES_PER_SHUFFLE_TASK), most)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
-    try:
+    with settings(spark, {INITIAL_PARTITIONS: str(partitions)}):
         yield partitions
-    finally:
-        if before is None:
-            spark.conf.unset(INITIAL_PARTITIONS)
-        else:
-            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 
 from assaylake.schemas.raw import FILE_URI, RAW, RUN_DATE
 from assaylake.session import remove_scratch, scratch_path
+from assaylake.sinks.shredding import raw_layout
 from assaylake.sinks.tables import clear_partition
+from assaylake.sources.footers import partition_counts
 from assaylake.sources.ndjson import landing_discover, ndjson_scan
 
 
-def _by_day(rows: DataFrame):
-    return rows.sortWithinPartitions(RUN_DATE, "resource_id").write.partitionBy(RUN_DATE)
+def _write_by_day(rows: DataFrame, path: str, mode: str) -> None:
+    """Overwriting swaps the run dates that ``rows`` hold and leaves the others."""
+    ordered = rows.sortWithinPartitions(RUN_DATE, "resource_id").write.partitionBy(RUN_DATE)
+    with raw_layout(rows.sparkSession):
+        ordered.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def raw_append(rows: DataFrame, path: str) -> None:
     """Add rows; columns the table does not know yet are kept (read with ``raw_read``)."""
-    _by_day(rows).mode("append").parquet(path)
+    _write_by_day(rows, path, "append")
 
 
 def raw_replace(rows: DataFrame, path: str, run_date: str) -> None:
@@ -31,7 +36,7 @@ def raw_replace(rows: DataFrame, path: str, run_date: str) -> None:
     if rows.select("resource_id").isEmpty():
         clear_partition(rows.sparkSession, path, RUN_DATE, run_date, RAW)
         return
-    _by_day(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _write_by_day(rows, path, "overwrite")
 
 
 def raw_merge_files(rows: DataFrame, path: str) -> None:
@@ -53,7 +58,7 @@ def raw_merge_files(rows: DataFrame, path: str) -> None:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             merged = new
-        _by_day(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        _write_by_day(merged, path, "overwrite")
     remove_scratch(spark, staging)
 
 
@@ -78,13 +83,12 @@ def load_run(spark: SparkSession, landing: str, run_date: str, raw_root: str) ->
 
 
 def load_report(spark: SparkSession, raw_root: str, types: list[str], run_date: str) -> DataFrame:
-    """Rows per loaded type; the run-date filter prunes to one partition and reads no column."""
+    """Rows per loaded type, from the footers of one partition's files."""
     empty = spark.createDataFrame([], "resource_type string, row_count long")
     for resource_type in types:
-        counted = (
-            spark.read.parquet(f"{raw_root}/{resource_type}")
-            .filter(F.col(RUN_DATE) == F.lit(run_date).cast("date"))
-            .agg(F.count("*").alias("row_count"))
+        by_day = partition_counts(spark, f"{raw_root}/{resource_type}", RAW, RUN_DATE)
+        counted = by_day.filter(F.col(RUN_DATE) == F.lit(run_date).cast("date")).agg(
+            F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
         )
         empty = empty.unionByName(counted.select(F.lit(resource_type).alias("resource_type"), "row_count"))
     return empty

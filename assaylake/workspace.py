@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.config import EngineConfig
-from assaylake.schemas.raw import RAW
+from assaylake.schemas.raw import RAW, RUN_DATE
 from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS
 from assaylake.session import is_stored
+from assaylake.sources.footers import partition_counts
 from assaylake.sources.seeds import default_test_seed, default_unit_seed
 
 Reader = Callable[[str], DataFrame]
@@ -31,11 +32,13 @@ class Workspace:
         vocabulary: Reader,
         config: EngineConfig | None = None,
         seeds: Mapping[str, DataFrame] | None = None,
+        raw_counts: Reader | None = None,
     ):
         self.spark = spark
         self.config = config or EngineConfig()
         self._raw = raw
         self._vocabulary = vocabulary
+        self._raw_counts = raw_counts
         self._seeds = dict(seeds or {})
         self._models: dict[str, DataFrame] = {}
         self._adopted: set[str] = set()
@@ -62,13 +65,22 @@ class Workspace:
                 return spark.createDataFrame([], VOCABULARY_SCHEMAS[table])
             return spark.read.schema(VOCABULARY_SCHEMAS[table]).parquet(f"{root}/vocabulary/{table}")
 
-        workspace = cls(spark, raw, vocabulary, config, seeds)
+        def raw_counts(resource_type: str) -> DataFrame:
+            return partition_counts(spark, f"{root}/raw/{resource_type}", RAW, RUN_DATE)
+
+        workspace = cls(spark, raw, vocabulary, config, seeds, raw_counts)
         workspace._absent = frozenset(t for t in VOCABULARY_SCHEMAS if not is_stored(spark, f"{root}/vocabulary/{t}"))
         return workspace
 
     def raw(self, resource_type: str) -> DataFrame:
         return self._raw(resource_type)
 
+    def raw_counts(self, resource_type: str) -> DataFrame:
+        """(run date, row_count) of a raw table; of stored tables from file footers."""
+        if self._raw_counts is not None:
+            return self._raw_counts(resource_type)
+        return self.raw(resource_type).groupBy(RUN_DATE).agg(F.count("*").alias("row_count"))
+
     def vocabulary(self, table: str) -> DataFrame:
         return self._vocabulary(table)
 
@@ -96,7 +108,7 @@ class Workspace:
 
     def replaced(self, models: Mapping[str, DataFrame]) -> Workspace:
         """The same inputs and models, with some models replaced."""
-        other = Workspace(self.spark, self._raw, self._vocabulary, self.config, self._seeds)
+        other = Workspace(self.spark, self._raw, self._vocabulary, self.config, self._seeds, self._raw_counts)
         other._models, other._adopted = {**self._models, **models}, self._adopted | set(models)
         other._concept_counts = self._concept_counts
         return other
