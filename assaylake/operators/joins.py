@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def unique_key(lookup: DataFrame, keys: Mapping[str, Column], value: str = "concept_id") -> DataFrame:
@@ -50,17 +51,62 @@ def lookup_join(
     return joined.drop(*keys, "_salt", "_lk_salt")
 
 
+# A sketch of fixed size finds heavy keys: this many counters, of which the largest are looked at.
+SKETCH_COUNTERS, MOST_HEAVY = 100_000, 1_000
+# A key is heavy from this many times the rows that one of the shuffle's tasks would get on average.
+HEAVY_SHARES = 2
+
+
+def heavy_keys(rows: DataFrame, columns: Sequence[str], tasks: int) -> dict[str, DataFrame]:
+    """(key, parts) of the keys of each column that need more than one of ``tasks`` shuffle tasks; columns without any are left out.
+
+    One scan of these columns; at most ``MOST_HEAVY`` keys a column come to the driver. Counts are estimates,
+    which changes how rows are spread and never what a join returns. NULL is no key.
+    """
+    found = rows.agg(
+        F.count("*").alias("_rows"),
+        *[F.expr(f"approx_top_k(`{c}`, {MOST_HEAVY}, {SKETCH_COUNTERS})").alias(c) for c in columns],
+    ).first()
+    heavy = {}
+    for column in columns:
+        counts = [(e["item"], e["count"] * tasks) for e in found[column] or [] if e["item"] is not None]
+        parts = [(key, -(-n // found["_rows"])) for key, n in counts if n > HEAVY_SHARES * found["_rows"]]
+        if parts:
+            kind = T.StructType([T.StructField("key", rows.schema[column].dataType), T.StructField("parts", T.LongType())])
+            heavy[column] = rows.sparkSession.createDataFrame(parts, kind)
+    return heavy
+
+
+def _with_parts(rows: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
+    known = heavy.select(F.col("key").alias("_heavy"), F.col("parts").alias("_parts"))
+    joined = rows.join(F.broadcast(known), F.col(key) == F.col("_heavy"), "left").drop("_heavy")  # at most MOST_HEAVY rows
+    return joined.withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+
+
+def in_parts(fact: DataFrame, entity: DataFrame, key: str, entity_key: str, heavy: DataFrame, spread_by: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``_part`` to join on as well: fact rows of a heavy key are spread over its parts, and its entity row
+    is repeated for each. Parts of all keys together are at most the shuffle's tasks plus the heavy keys."""
+    left = _with_parts(fact, key, heavy).withColumn("_part", F.pmod(F.xxhash64(spread_by), F.col("_parts"))).drop("_parts")
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)
+    right = _with_parts(entity, entity_key, heavy).withColumn("_part", F.explode(numbers)).drop("_parts")
+    return left, right
+
+
 def entity_left_join(
-    fact: DataFrame, entity: DataFrame, reference: str, entity_key: str, spread_by: str
+    fact: DataFrame, entity: DataFrame, reference: str, entity_key: str, spread_by: str, heavy: DataFrame | None = None
 ) -> DataFrame:
     """Left join to a large entity table that is unique on its key.
 
     References are often absent. An absent one joins nothing, so it takes a stand-in key that varies by row
-    and never matches; otherwise all rows without a reference would meet in one task. A hot
-    present reference is left to adaptive skew splitting, which may split the fact side.
+    and never matches; otherwise all rows without a reference would meet in one task. Hot references are spread by
+    ``heavy`` (see ``heavy_keys``); without it they are left to adaptive skew splitting, which may split the fact side.
     """
-    stand_in = F.concat(F.lit("/absent/"), F.pmod(F.xxhash64(spread_by), F.lit(4096)).cast("string"))
+    stand_in = F.concat(F.lit("/absent/"), F.xxhash64(spread_by).cast("string"))
     keyed = fact.withColumn("_ref", F.coalesce(F.col(reference), stand_in))
     right = entity.withColumnRenamed(entity_key, "_entity_ref")
     same = (F.col("_ref") == F.col("_entity_ref")) & F.col(reference).isNotNull()
-    return keyed.join(right, same, "left").drop("_ref", "_entity_ref")
+    if heavy is not None:
+        keyed, right = in_parts(keyed, right, "_ref", "_entity_ref", heavy, spread_by)
+        right = right.withColumnRenamed("_part", "_entity_part")
+        same = same & (F.col("_part") == F.col("_entity_part"))
+    return keyed.join(right, same, "left").drop("_ref", "_entity_ref", "_part", "_entity_part")

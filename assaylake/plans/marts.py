@@ -15,7 +15,7 @@ from assaylake.functions.scalars import (
     surrogate_key,
     typed_null,
 )
-from assaylake.operators.joins import entity_left_join, lookup_join, unique_key
+from assaylake.operators.joins import entity_left_join, in_parts, lookup_join, unique_key
 from assaylake.plans.lookups import codes, standard_codes
 from assaylake.plans.staging import laboratory_half, observation_versions
 from assaylake.workspace import Workspace
@@ -46,10 +46,16 @@ def _seed_bounded(ws: Workspace, seed: DataFrame) -> bool:
     return seed.limit(limit + 1).count() <= limit
 
 
-def _with_person(ws: Workspace, fact: DataFrame) -> DataFrame:
-    """Facts whose patient reference resolves; the others are dropped."""
+def _with_person(ws: Workspace, fact: DataFrame, spread_by: str, stored: str | None = None) -> DataFrame:
+    """Facts whose patient reference resolves; the others are dropped. ``stored`` names the model the facts come from."""
     person = ws.model("omop_person").select("person_id")
-    return fact.withColumn("person_id", surrogate_key(F.col("patient_ref"))).join(person, "person_id")
+    keyed = fact.withColumn("person_id", surrogate_key(F.col("patient_ref")))
+    heavy = ws.heavy_references(stored).get("patient_ref")
+    if heavy is None:
+        return keyed.join(person, "person_id")
+    heavy = heavy.select(surrogate_key(F.col("key")).alias("key"), "parts")
+    keyed, person = in_parts(keyed, person, "person_id", "person_id", heavy, spread_by)
+    return keyed.join(person, ["person_id", "_part"]).drop("_part")
 
 
 def _address_text() -> Column:
@@ -146,7 +152,7 @@ def omop_person(ws: Workspace) -> DataFrame:
 def omop_visit_occurrence(ws: Workspace) -> DataFrame:
     visits = _look_up(
         ws,
-        _with_person(ws, ws.model("stg_encounter")),
+        _with_person(ws, ws.model("stg_encounter"), "fhir_encounter_id", "stg_encounter"),
         standard_codes(ws, "Visit", F.lower("concept_code")),
         {"code": F.lower("class_code")},
         {"_visit": "concept_id"},
@@ -175,15 +181,17 @@ def omop_visit_occurrence(ws: Workspace) -> DataFrame:
     )
 
 
-def _with_visit(ws: Workspace, fact: DataFrame, spread_by: str) -> DataFrame:
+def _with_visit(ws: Workspace, fact: DataFrame, spread_by: str, stored: str | None = None) -> DataFrame:
     visits = ws.model("omop_visit_occurrence").select("visit_occurrence_id", "visit_source_value")
-    return entity_left_join(fact, visits, "encounter_ref", "visit_source_value", spread_by)
+    heavy = ws.heavy_references(stored).get("encounter_ref")
+    return entity_left_join(fact, visits, "encounter_ref", "visit_source_value", spread_by, heavy)
 
 
 def omop_visit_detail(ws: Workspace) -> DataFrame:
     """One row per diagnostic report of a known person."""
-    reports = _with_person(ws, ws.model("stg_diagnostic_report").drop("child_observation_ids"))
-    reports = _with_visit(ws, reports, "fhir_report_id")
+    reports = ws.model("stg_diagnostic_report").drop("child_observation_ids")
+    reports = _with_person(ws, reports, "fhir_report_id", "stg_diagnostic_report")
+    reports = _with_visit(ws, reports, "fhir_report_id", "stg_diagnostic_report")
     end = F.coalesce("issued_datetime", "effective_datetime")
     return reports.select(
         surrogate_key(F.col("fhir_report_id")).alias("visit_detail_id"),
@@ -209,7 +217,7 @@ def omop_visit_detail(ws: Workspace) -> DataFrame:
 
 
 def omop_specimen(ws: Workspace) -> DataFrame:
-    specimens = _with_person(ws, ws.model("stg_specimen"))
+    specimens = _with_person(ws, ws.model("stg_specimen"), "fhir_specimen_id", "stg_specimen")
     snomed = standard_codes(ws, "SNOMED", F.col("concept_code"))
     for source, out in (("type_snomed_code", "_type"), ("body_site_snomed_code", "_site")):
         specimens = _look_up(
@@ -316,8 +324,8 @@ def _first_report(ws: Workspace) -> DataFrame:
     return ws.model("report_child_obs").groupBy("fhir_observation_id").agg(F.min("visit_detail_id").alias("visit_detail_id"))
 
 
-def measurement_from(ws: Workspace, lab: DataFrame) -> DataFrame:
-    """Measurement rows for these laboratory observations.
+def measurement_from(ws: Workspace, lab: DataFrame, stored: str | None = None) -> DataFrame:
+    """Measurement rows for these laboratory observations; ``stored`` names the model they all come from, if they do.
 
     The report join comes first: it is keyed like the version window below it, so it reuses that
     shuffle. Then one shuffle each for person, visit and specimen, fewer where adaptive execution
@@ -326,7 +334,7 @@ def measurement_from(ws: Workspace, lab: DataFrame) -> DataFrame:
     oid = "fhir_observation_id"
     fact = lab.withColumnRenamed("value_codeable_snomed_code", "value_snomed_code")
     fact = fact.join(_first_report(ws), oid, "left")
-    fact = _with_person(ws, fact)
+    fact = _with_person(ws, fact, oid, stored)
     fact = _with_seeds(ws, _with_codes(ws, fact))
     fact = _look_up(
         ws,
@@ -337,9 +345,10 @@ def measurement_from(ws: Workspace, lab: DataFrame) -> DataFrame:
         ("Meas Value Operator",),
         oid,
     )
-    fact = _with_visit(ws, fact, oid)
+    fact = _with_visit(ws, fact, oid, stored)
     specimens = ws.model("omop_specimen").select("specimen_id", "specimen_source_id")
-    fact = entity_left_join(fact, specimens, "specimen_ref", "specimen_source_id", oid)
+    heavy = ws.heavy_references(stored).get("specimen_ref")
+    fact = entity_left_join(fact, specimens, "specimen_ref", "specimen_source_id", oid, heavy)
 
     taken = F.coalesce("effective_datetime", "effective_period_start")
     return fact.select(
@@ -373,7 +382,7 @@ def measurement_from(ws: Workspace, lab: DataFrame) -> DataFrame:
 
 
 def omop_measurement(ws: Workspace) -> DataFrame:
-    return measurement_from(ws, ws.model("stg_observation_lab"))
+    return measurement_from(ws, ws.model("stg_observation_lab"), "observation_versions")
 
 
 def measurement_delta(ws: Workspace, lab: DataFrame) -> DataFrame:
@@ -405,7 +414,8 @@ def measurement_since(ws: Workspace, since: Column | None) -> DataFrame:
 
 def omop_observation(ws: Workspace) -> DataFrame:
     oid = "fhir_observation_id"
-    fact = _with_codes(ws, _with_person(ws, ws.model("stg_observation_nonlab")))
+    stored = "observation_versions"
+    fact = _with_codes(ws, _with_person(ws, ws.model("stg_observation_nonlab"), oid, stored))
     fact = _look_up(
         ws,
         fact,
@@ -415,7 +425,7 @@ def omop_observation(ws: Workspace) -> DataFrame:
         ("SNOMED",),
         oid,
     )
-    fact = _with_visit(ws, fact, oid)
+    fact = _with_visit(ws, fact, oid, stored)
     taken = F.coalesce("effective_datetime", "effective_period_start")
     spoken = F.coalesce("value_string", "value_codeable_display")
     return fact.select(

@@ -85,6 +85,11 @@ def sized_shuffles(spark: SparkSession, input_bytes: int, most: int) -> Iterator
         yield partitions
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """How many tasks a shuffle starts with."""
+    return int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset and Spark is local."""
     context = spark.sparkContext

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.config import EngineConfig
+from assaylake.operators.joins import heavy_keys
 from assaylake.schemas.raw import RAW, RUN_DATE
 from assaylake.schemas.vocabulary import VOCABULARY_SCHEMAS
-from assaylake.session import is_stored
+from assaylake.session import is_stored, shuffle_tasks
 from assaylake.sources.footers import partition_counts
 from assaylake.sources.seeds import default_test_seed, default_unit_seed
 
@@ -42,6 +43,8 @@ class Workspace:
         self._seeds = dict(seeds or {})
         self._models: dict[str, DataFrame] = {}
         self._adopted: set[str] = set()
+        self._stored: set[str] = set()
+        self._heavy: dict[str, dict[str, DataFrame]] = {}
         self._concept_counts: dict[str, int] | None = None
         self._absent: frozenset[str] = frozenset()
 
@@ -103,6 +106,8 @@ class Workspace:
 
     def adopt(self, name: str, stored: DataFrame) -> None:
         self._adopted.add(name)
+        self._stored.add(name)
+        self._heavy.pop(name, None)
         # Other models may have been planned over what this one was before.
         self._models = {k: v for k, v in self._models.items() if k in self._adopted} | {name: stored}
 
@@ -120,6 +125,17 @@ class Workspace:
     def is_adopted(self, name: str) -> bool:
         return name in self._adopted
 
+    def heavy_references(self, model: str | None) -> dict[str, DataFrame]:
+        """Heavy keys of the reference columns of a stored model, by one narrow scan; none where it is not stored,
+        as counting would compute it twice, nor where it was replaced by a few changed rows."""
+        if model not in self._stored:
+            return {}
+        if model not in self._heavy:
+            rows = self.model(model)
+            columns = [c for c in ("patient_ref", "encounter_ref", "specimen_ref") if c in rows.columns]
+            self._heavy[model] = heavy_keys(rows, columns, shuffle_tasks(self.spark)) if columns else {}
+        return self._heavy[model]
+
     def concept_count(self, *vocabulary_ids: str) -> int:
         """Exact number of concepts in these vocabularies: an upper bound for any lookup over them.
 
