@@ -57,6 +57,9 @@ class EngineConfig:
     person_source_value_pepper: str = ""
     pepper_variable: str = "DBT_PEPPER"
 
+    # How texts become 64-bit keys, see ``functions/scalars.py``: "md5", or "farm" for the ids of warehouses keyed by FarmHash.
+    key_hash: str = "md5"
+
     # US Core sends race and ethnicity as one object; False accepts only an array.
     accept_single_coding_extension: bool = True
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from assaylake.config import EngineConfig
+from assaylake.functions.fingerprint import fingerprint64
 
 REFERENCE_PATTERN = r"(?:^|/)([^/]+)$"
 
@@ -18,11 +19,22 @@ def reference_id(reference: Column) -> Column:
     return F.nullif(F.regexp_extract(reference, REFERENCE_PATTERN, 1), F.lit(""))
 
 
-def surrogate_key(value: Column) -> Column:
-    """Signed 64-bit key: the leading half of the MD5 digest. NULL stays NULL."""
+def md5_key(value: Column) -> Column:
+    """The leading half of the MD5 digest."""
     return F.conv(F.substring(F.md5(value.cast("string")), 1, 16), 16, -10).cast("bigint")
 
 
+KEY_HASHES = {"md5": md5_key, "farm": fingerprint64}
+
+
+def surrogate_key(value: Column, config: EngineConfig | None = None) -> Column:
+    """Signed 64-bit key by the hash that ``config`` names, MD5 by default. NULL stays NULL."""
+    name = config.key_hash if config else "md5"
+    if name not in KEY_HASHES:
+        raise ValueError(f"key_hash is {name!r}, not one of {sorted(KEY_HASHES)}")
+    return KEY_HASHES[name](value)
+
+
 def person_source(value: Column, config: EngineConfig) -> Column:
     """The identifier as text, or its peppered SHA-256 when hashing is on."""
     plain = value.cast("string")

@@ -91,7 +91,7 @@ def source_code_lookup(ws: Workspace) -> DataFrame:
 def report_child_obs(ws: Workspace) -> DataFrame:
     """One row per (report, child observation)."""
     return ws.model("stg_diagnostic_report").select(
-        surrogate_key(F.col("fhir_report_id")).alias("visit_detail_id"),
+        surrogate_key(F.col("fhir_report_id"), ws.config).alias("visit_detail_id"),
         F.explode("child_observation_ids").alias("fhir_observation_id"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake import config as c
+from assaylake.config import EngineConfig
 from assaylake.functions.scalars import (
     comparator_code,
     concept,
@@ -49,11 +50,11 @@ def _seed_bounded(ws: Workspace, seed: DataFrame) -> bool:
 def _with_person(ws: Workspace, fact: DataFrame, spread_by: str, stored: str | None = None) -> DataFrame:
     """Facts whose patient reference resolves; the others are dropped. ``stored`` names the model the facts come from."""
     person = ws.model("omop_person").select("person_id")
-    keyed = fact.withColumn("person_id", surrogate_key(F.col("patient_ref")))
+    keyed = fact.withColumn("person_id", surrogate_key(F.col("patient_ref"), ws.config))
     heavy = ws.heavy_references(stored).get("patient_ref")
     if heavy is None:
         return keyed.join(person, "person_id")
-    heavy = heavy.select(surrogate_key(F.col("key")).alias("key"), "parts")
+    heavy = heavy.select(surrogate_key(F.col("key"), ws.config).alias("key"), "parts")
     keyed, person = in_parts(keyed, person, "person_id", "person_id", heavy, spread_by)
     return keyed.join(person, ["person_id", "_part"]).drop("_part")
 
@@ -62,10 +63,10 @@ def _address_text() -> Column:
     return joined_key(*[F.col(a) for a in ADDRESS])
 
 
-def address_key() -> Column:
+def address_key(config: EngineConfig) -> Column:
     """The location of a staged patient; NULL without any address part."""
     parts = [F.nullif(F.col(a), F.lit("")) for a in ADDRESS]
-    return F.when(F.coalesce(*parts).isNotNull(), surrogate_key(joined_key(*parts)))
+    return F.when(F.coalesce(*parts).isNotNull(), surrogate_key(joined_key(*parts), config))
 
 
 def _blank_as_null(patients: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def omop_location(ws: Workspace) -> DataFrame:
         .distinct()
     )
     return addresses.select(
-        surrogate_key(_address_text()).alias("location_id"),
+        surrogate_key(_address_text(), ws.config).alias("location_id"),
         typed_null("string").alias("address_1"),
         typed_null("string").alias("address_2"),
         F.col("address_city").alias("city"),
@@ -128,7 +129,7 @@ def omop_person(ws: Workspace) -> DataFrame:
         )
     has_address = F.coalesce(*ADDRESS).isNotNull()
     return patients.select(
-        surrogate_key(F.col(pid)).alias("person_id"),
+        surrogate_key(F.col(pid), ws.config).alias("person_id"),
         _or_unknown(ws, F.col("_gender")).alias("gender_concept_id"),
         F.year("birth_date").cast("bigint").alias("year_of_birth"),
         F.month("birth_date").cast("bigint").alias("month_of_birth"),
@@ -136,7 +137,7 @@ def omop_person(ws: Workspace) -> DataFrame:
         typed_null("timestamp").alias("birth_datetime"),
         _or_unknown(ws, F.col("_race")).alias("race_concept_id"),
         _or_unknown(ws, F.col("_ethnicity")).alias("ethnicity_concept_id"),
-        F.when(has_address, surrogate_key(_address_text())).alias("location_id"),
+        F.when(has_address, surrogate_key(_address_text(), ws.config)).alias("location_id"),
         typed_null("bigint").alias("provider_id"),
         typed_null("bigint").alias("care_site_id"),
         person_source(F.coalesce("identifier_value", pid), ws.config).alias("person_source_value"),
@@ -161,7 +162,7 @@ def omop_visit_occurrence(ws: Workspace) -> DataFrame:
     )
     end = F.coalesce("period_end", "period_start")
     return visits.select(
-        surrogate_key(F.col("fhir_encounter_id")).alias("visit_occurrence_id"),
+        surrogate_key(F.col("fhir_encounter_id"), ws.config).alias("visit_occurrence_id"),
         "person_id",
         _or_unknown(ws, F.col("_visit")).alias("visit_concept_id"),
         F.to_date("period_start").alias("visit_start_date"),
@@ -194,7 +195,7 @@ def omop_visit_detail(ws: Workspace) -> DataFrame:
     reports = _with_visit(ws, reports, "fhir_report_id", "stg_diagnostic_report")
     end = F.coalesce("issued_datetime", "effective_datetime")
     return reports.select(
-        surrogate_key(F.col("fhir_report_id")).alias("visit_detail_id"),
+        surrogate_key(F.col("fhir_report_id"), ws.config).alias("visit_detail_id"),
         "person_id",
         concept(c.EHR_RECORD).alias("visit_detail_concept_id"),
         F.to_date("effective_datetime").alias("visit_detail_start_date"),
@@ -225,7 +226,7 @@ def omop_specimen(ws: Workspace) -> DataFrame:
         )
     taken = F.coalesce("collection_datetime", "collection_period_start")
     return specimens.select(
-        surrogate_key(F.col("fhir_specimen_id")).alias("specimen_id"),
+        surrogate_key(F.col("fhir_specimen_id"), ws.config).alias("specimen_id"),
         "person_id",
         _or_unknown(ws, F.col("_type")).alias("specimen_concept_id"),
         concept(c.SPECIMEN_FROM_MEASUREMENT).alias("specimen_type_concept_id"),
@@ -352,7 +353,7 @@ def measurement_from(ws: Workspace, lab: DataFrame, stored: str | None = None) -
 
     taken = F.coalesce("effective_datetime", "effective_period_start")
     return fact.select(
-        surrogate_key(F.col(oid)).alias("measurement_id"),
+        surrogate_key(F.col(oid), ws.config).alias("measurement_id"),
         "person_id",
         _or_unknown(ws, F.col("_loinc"), F.col("_seed_target")).alias("measurement_concept_id"),
         F.to_date(taken).alias("measurement_date"),
@@ -400,7 +401,7 @@ def measurement_delta(ws: Workspace, lab: DataFrame) -> DataFrame:
 
     reduced = {
         "report_child_obs": cut(ws.model("report_child_obs"), "fhir_observation_id", F.col("fhir_observation_id")),
-        "omop_person": cut(ws.model("omop_person"), "person_id", surrogate_key(F.col("patient_ref"))),
+        "omop_person": cut(ws.model("omop_person"), "person_id", surrogate_key(F.col("patient_ref"), ws.config)),
         "omop_visit_occurrence": cut(ws.model("omop_visit_occurrence"), "visit_source_value", F.col("encounter_ref")),
         "omop_specimen": cut(ws.model("omop_specimen"), "specimen_source_id", F.col("specimen_ref")),
     }
@@ -429,7 +430,7 @@ def omop_observation(ws: Workspace) -> DataFrame:
     taken = F.coalesce("effective_datetime", "effective_period_start")
     spoken = F.coalesce("value_string", "value_codeable_display")
     return fact.select(
-        surrogate_key(F.col(oid)).alias("observation_id"),
+        surrogate_key(F.col(oid), ws.config).alias("observation_id"),
         "person_id",
         _or_unknown(ws, F.col("_loinc"), F.col("_snomed")).alias("observation_concept_id"),
         F.to_date(taken).alias("observation_date"),

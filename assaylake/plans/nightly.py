@@ -58,13 +58,13 @@ def check_all(ws: Workspace, catalogue: Catalogue | None = None, now: Column | N
         checks.check_foreign_keys(tables | vocabulary, catalogue),
         checks.check_concepts_valid(tables, ws.vocabulary("concept"), catalogue),
         checks.check_lost_rows(
-            ws.model("stg_observation_lab"), "stg_observation_lab", surrogate_key(F.col("patient_ref")), ws.model("omop_person")
+            ws.model("stg_observation_lab"), "stg_observation_lab", surrogate_key(F.col("patient_ref"), ws.config), ws.model("omop_person")
         ),
         contract_failures(ws),
         stages.freshness_checks(ws, REQUIRED_RESOURCE_TYPES, F.current_timestamp() if now is None else now),
     ]
     for name, key in stages.STAGING_KEYS.items():
-        parts.append(checks.check_key_collisions(ws.model(name), name, key))
+        parts.append(checks.check_key_collisions(ws.model(name), name, key, ws.config))
     for name, (start, end) in START_AND_END.items():
         parts.append(checks.check_date_order(ws.model(name), name.removeprefix("omop_"), start, end))
     return checks.union_all(parts)

@@ -16,6 +16,51 @@ def key(expr: str) -> str:
     )
 
 
+def fingerprint_of_8_to_32(texts: str) -> str:
+    """The 64-bit FarmHash fingerprint ``id`` of each ASCII ``t`` of 8 to 32 characters, in 128-bit arithmetic; other columns stay."""
+    k1, k2, word = 0xB492B66FBE98F273, 0x9AE16A3B2F90404F, 1 << 64
+
+    def wrapped(terms: str) -> str:
+        return f"CAST(({terms}) % CAST({word} AS UHUGEINT) AS UHUGEINT)"
+
+    def add(*terms) -> str:
+        return wrapped(" + ".join(f"CAST({t} AS UHUGEINT)" for t in terms))
+
+    def times(x, y) -> str:
+        return wrapped(f"CAST({x} AS UHUGEINT) * CAST({y} AS UHUGEINT)")
+
+    def turned(x, right: int) -> str:
+        return f"xor({x} // {1 << right}, {times(x, 1 << (64 - right))})"
+
+    def stirred(x) -> str:
+        return f"xor({x}, {x} // {1 << 47})"
+
+    def read(place: str) -> str:
+        return f"CAST(CAST('0x' || hex(reverse(substr(t, CAST({place} + 1 AS INTEGER), 8))) AS UBIGINT) AS UHUGEINT)"
+
+    steps = [
+        {"m": add(k2, "2 * length(t)"), "is_long": "length(t) > 16"},
+        {
+            "a": f"CASE WHEN is_long THEN {times(read('0'), k1)} ELSE {add(read('0'), k2)} END",
+            "b": f"CASE WHEN is_long THEN {read('8')} ELSE {read('length(t) - 8')} END",
+            "c": f"CASE WHEN is_long THEN {times(read('length(t) - 8'), 'm')} END",
+            "d": f"CASE WHEN is_long THEN {times(read('length(t) - 16'), k2)} END",
+        },
+        {"ab": add("a", "b"), "bk": add("b", k2)},
+        {
+            "u": f"CASE WHEN is_long THEN {add(turned('ab', 43), turned('c', 30), 'd')} ELSE {add(times(turned('b', 37), 'm'), 'a')} END",
+            "v": f"CASE WHEN is_long THEN {add('a', turned('bk', 18), 'c')} ELSE {times(add(turned('a', 25), 'b'), 'm')} END",
+        },
+        {"p": times("xor(u, v)", "m")},
+        {"q": times(f"xor(v, {stirred('p')})", "m")},
+        {"f": times(stirred("q"), "m")},
+        {"id": f"CAST(CAST(f AS HUGEINT) - CASE WHEN f >= {word // 2} THEN CAST({word} AS HUGEINT) ELSE 0 END AS BIGINT)"},
+    ]
+    for step in steps:
+        texts = f"SELECT *, {', '.join(f'{value} AS {name}' for name, value in step.items())} FROM ({texts})"
+    return texts
+
+
 NULL_INT = "CAST(NULL AS BIGINT)"
 NULL_TEXT = "CAST(NULL AS VARCHAR)"
 

@@ -7,7 +7,7 @@ from assaylake.functions import json as j
 from assaylake.functions import scalars as s
 from assaylake.quality import stages
 from assaylake.operators.versions import high_water
-from contract.oracle import key
+from contract.oracle import fingerprint_of_8_to_32, key
 from contract.registry import query
 
 
@@ -262,6 +262,14 @@ query(
         s.surrogate_key(F.when(F.col("o_orderkey") % 3 == 0, "x")).alias("of_null"),
     )
 )
+FINGERPRINTED = """SELECT c_custkey, 'name' AS part, c_name AS t FROM customer
+    UNION ALL SELECT c_custkey, 'reference', 'Patient/' || c_custkey FROM customer"""
+query("hash_id_fingerprint", f"SELECT c_custkey, part, id FROM ({fingerprint_of_8_to_32(FINGERPRINTED)})")(
+    lambda t: t.base("customer")
+    .select("c_custkey", F.col("c_name").alias("name"), F.concat(F.lit("Patient/"), "c_custkey").alias("reference"))
+    .unpivot("c_custkey", ["name", "reference"], "part", "t")
+    .select("c_custkey", "part", s.surrogate_key(F.col("t"), EngineConfig(key_hash="farm")).alias("id"))
+)
 PEPPER = "pepper-for-tests"
 query(
     "hash_mrn",

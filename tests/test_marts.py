@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from assaylake import EngineConfig
 from assaylake.config import LOINC_URI
+from assaylake.functions.fingerprint import fingerprint64
 from assaylake.functions.scalars import surrogate_key
 from assaylake.plans import analyses
 from assaylake.plans.lookups import codes
@@ -158,6 +159,34 @@ def test_measurement(workspace, spark):
     assert row.measurement_date == dt.date(2024, 1, 1)
 
 
+def test_marts_keyed_by_fingerprints_differ_in_their_ids_only(workspace):
+    """Ids equal the fingerprints of their sources and join as before."""
+    resources = {
+        "Patient": [patient("p", address=[{"city": "Cork"}]), patient("p" * 70)],
+        "Encounter": [resource("Encounter", "e", subject={"reference": "Patient/p"})],
+        "Observation": [observation("o", encounter={"reference": "Encounter/e"}), observation("q", "Patient/" + "p" * 70), observation("r", "Patient/x")],
+    }
+    plain, farm = workspace(resources), workspace(resources, EngineConfig(key_hash="farm"))
+    sources = {"person_id": "person_source_value", "location_id": "location_source_value", "visit_occurrence_id": "visit_source_value"}
+    for name in ("omop_person", "omop_location", "omop_visit_occurrence"):
+        found = farm.model(name)
+        key = found.columns[0]
+        assert found.filter(F.col(key) != fingerprint64(F.col(sources[key]))).isEmpty() and not found.isEmpty()
+    rows = farm.model("omop_measurement").join(farm.model("omop_person").select("person_id", "person_source_value"), "person_id")
+    joined = {r.measurement_id: r for r in rows.collect()}
+    ids = farm.spark.createDataFrame([("o",), ("q",), ("e",)], "t string").select("t", fingerprint64(F.col("t")).alias("id"))
+    o, q, e = [dict(ids.collect())[t] for t in "oqe"]
+    assert set(joined) == {o, q} and joined[o].visit_occurrence_id == e and joined[q].person_source_value == "p" * 70
+    keys = ("measurement_id", "person_id", "visit_occurrence_id")
+    one, two = [ws.model("omop_measurement").drop(*keys) for ws in (plain, farm)]
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
+def test_an_unknown_key_hash_is_refused():
+    with pytest.raises(ValueError, match="key_hash"):
+        surrogate_key(F.lit("x"), EngineConfig(key_hash="crc"))
+
+
 def test_concept_fallbacks(workspace, spark):
     seed = spark.createDataFrame([("T1", "URN:local", 555, 0, ""), ("T2", "urn:local", 556, 777, "")], seeds.TEST_SEED)
     local = lambda code: {"coding": [{"system": "urn:LOCAL", "code": code}]}
