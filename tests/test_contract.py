@@ -69,3 +69,9 @@ def test_no_python_and_no_cartesian_product(spark):
     for name in ("omop_measurement", "omop_observation", "omop_visit_detail", "omop_specimen", "omop_fact_relationship"):
         plan = physical(ws.model(name))
         assert not [word for word in ("Python", "Pandas", "Cartesian", "NestedLoop") if word in plan], name
+
+
+@pytest.mark.parametrize("name", ["inner_join_person", "cte_relations"])
+def test_facts_of_known_persons_match_sql(spark, duck, name):
+    build, sql = entry_point.queries()[name], entry_point.oracle_sql()[name]
+    assert compare(spark, duck, FOLDER, name, build, sql) is None
