@@ -18,7 +18,7 @@ def _write_by_day(rows: DataFrame, path: str, mode: str) -> None:
     """Overwriting swaps the run dates that ``rows`` hold and leaves the others."""
     ordered = rows.sortWithinPartitions(RUN_DATE, "resource_id").write.partitionBy(RUN_DATE)
     with raw_layout(rows.sparkSession):
-        ordered.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path)
+        ordered.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path, compression="zstd")
 
 
 def raw_append(rows: DataFrame, path: str) -> None:

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_point
+from assaylake.sources.ndjson import ndjson_scan
 from contract import load_queries
 from contract.check import compare, connect
 from contract.registry import tables
@@ -75,3 +76,14 @@ def test_no_python_and_no_cartesian_product(spark):
 def test_facts_of_known_persons_match_sql(spark, duck, name):
     build, sql = entry_point.queries()[name], entry_point.oracle_sql()[name]
     assert compare(spark, duck, FOLDER, name, build, sql) is None
+
+
+def test_landing_files_are_compressed_and_read_back_whole(spark):
+    from contract.queries_ingest import RUN_DATE, land
+
+    t = tables(spark, FOLDER)
+    root = land(t, ["Specimen"])
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length").collect()
+    assert files and all(f.path.endswith(".gz") for f in files)
+    assert sum(f.length for f in files) < 100 * t.lines("Specimen").count()
+    assert ndjson_scan(spark, root, RUN_DATE, "Specimen").count() == t.lines("Specimen").count()
