@@ -78,6 +78,17 @@ def test_facts_of_known_persons_match_sql(spark, duck, name):
     assert compare(spark, duck, FOLDER, name, build, sql) is None
 
 
+def test_a_filter_by_time_parses_each_document_once(spark):
+    assert physical(entry_point.queries()["since_window"](spark, FOLDER)).count("parseJson") == 1
+
+
+def test_new_rows_of_an_upsert_are_computed_once(spark):
+    """Only the old rows' plan parses observations and reports; keys and rows of what is new are stored."""
+    plan = physical(entry_point.queries()["upsert_by_key"](spark, FOLDER))
+    old = physical(tables(spark, FOLDER).ws.model("omop_measurement").select("measurement_id", "value_source_value", "_loaded_at"))
+    assert plan.count("parseJson") <= old.count("parseJson")
+
+
 def test_landing_files_are_compressed_and_read_back_whole(spark):
     from contract.queries_ingest import RUN_DATE, land
 
