@@ -98,3 +98,11 @@ def test_landing_files_are_compressed_and_read_back_whole(spark):
     assert files and all(f.path.endswith(".gz") for f in files)
     assert sum(f.length for f in files) < 100 * t.lines("Specimen").count()
     assert ndjson_scan(spark, root, RUN_DATE, "Specimen").count() == t.lines("Specimen").count()
+
+
+def test_quality_checks_read_stored_marts(spark):
+    """No check runs the plan of a mart again."""
+    from contract.queries_checks import marts
+
+    made = marts(tables(spark, FOLDER))
+    assert not [n for n in made if n not in ("location", "cdm_source") and "parseJson" in physical(made[n])]
