@@ -1,8 +1,8 @@
 """Token ids of whole texts, word by word.
 
 Both vocabularies cut a text at certain spaces before they merge anything, so the ids of a text are those of its
-pieces in a row. Pieces recur, so a worker keeps the ids of those it has met in a bounded table and asks the
-tokenizer for new ones only, a batch at a time.
+pieces in a row. Pieces recur, so a worker keeps the ids of those it has met of late in a bounded table and asks the
+tokenizer for others only, a batch at a time.
 """
 
 from __future__ import annotations
@@ -11,14 +11,14 @@ import gc
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 
 from assaylake.llm.common import single_thread
 
-# Words and marks a worker remembers; about 170 bytes each. The table starts anew beyond that.
-MEMORY = 1_000_000
+# Words and marks a worker remembers; about 170 bytes each. Workers outlive a query, so all they keep adds up.
+MEMORY = 400_000
 _BESIDE_SPACE = re.compile(r"\x20(?:\s|(?<=\s\x20))")
 # A word, a mark, and the same again behind a line end: both vocabularies cut between these parts.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?))?")
@@ -26,6 +26,30 @@ _LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _SINGLE_SPACE = re.compile(r"(?<=\S)\x20(?=\S)")
 
 
+class Remembered:
+    """A bounded table in two halves. What is asked for again moves to the newer one, and the older one is dropped for it when it is full."""
+
+    def __init__(self):
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def find(self, words: Collection[str]) -> dict[str, bytes]:
+        newer, older = self.newer, self.older
+        found = {w: newer[w] for w in words if w in newer}
+        if older and len(found) < len(words):
+            again = {w: older[w] for w in words if w not in found and w in older}
+            newer.update(again)
+            found.update(again)
+        return found
+
+    def add(self, ids: dict[str, bytes]) -> None:
+        self.newer.update(ids)
+
+    def age(self, most: int) -> None:
+        if len(self.newer) > most // 2:
+            self.newer, self.older = {}, self.newer
+
+
 class PieceTokenizer:
     """Ids as packed little-endian bytes of ``width`` each."""
 
@@ -43,8 +67,7 @@ class PieceTokenizer:
         # A vocabulary that keeps spaces gives a piece together with the space before it.
         self.keeps_space = len(self.ids([" a"])[0]) != len(self.ids(["a"])[0]) or self.ids([" a"]) != self.ids(["a"])
         # Ids of words and marks, and of words behind a space where that belongs to them.
-        self.known: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.known, self.spaced = Remembered(), Remembered()
         # Tokens that begin (spaces kept) or end (spaces dropped) a word.
         edge = str.startswith if self.keeps_space else str.endswith
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -86,17 +109,21 @@ class PieceTokenizer:
     def _ids_of(self, pieces: set[str], lead: str) -> dict[str, bytes]:
         """Ids of pieces behind ``lead``; a word with its marks is put together from parts, and parts are remembered."""
         own = self.spaced if lead else self.known
-        found = {p: own[p] for p in pieces if p in own}
+        own.age(MEMORY)
+        found = own.find(pieces)
         rows = {p: m.groups("") if (m := _SIMPLE.fullmatch(p)) else (p,) for p in pieces if p not in found}
-        if len(self.spaced) + len(self.known) + len(rows) > MEMORY:
-            self.spaced.clear()
-            self.known.clear()
-        heads = [x for x in {row[0] for row in rows.values()} if x not in own]
-        own.update(zip(heads, self._encode([lead + x for x in heads])))
-        tails = [x for x in {x for row in rows.values() for x in row[1:]} if x not in self.known]
-        self.known.update(zip(tails, self._encode(tails)))
+        heads = self._parts({row[0] for row in rows.values()}, own, lead)
+        tails = self._parts({x for row in rows.values() for x in row[1:]}, self.known, "")
         for p, row in rows.items():
-            found[p] = own[row[0]] if len(row) == 1 else own[row[0]] + b"".join(map(self.known.__getitem__, row[1:]))
+            found[p] = heads[row[0]] if len(row) == 1 else heads[row[0]] + b"".join(map(tails.__getitem__, row[1:]))
+        return found
+
+    def _parts(self, parts: set[str], own: Remembered, lead: str) -> dict[str, bytes]:
+        found = own.find(parts)
+        new = [x for x in parts if x not in found]
+        encoded = dict(zip(new, self._encode([lead + x for x in new])))
+        own.add(encoded)
+        found.update(encoded)
         return found
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
