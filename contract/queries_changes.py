@@ -96,6 +96,8 @@ NEWEST = "SELECT oid, max(l_shipdate) AS last_updated FROM versions GROUP BY oid
 def _maintained(t):
     """A keyed store of the versions known some days after the mark, then what arrived since the mark taken in."""
     newest = latest_version(t.raw("Observation")).select(F.col("resource_id").alias("oid"), "last_updated")
+    # Read for what is known, for the folders and keys of what arrived, and for the comparison: documents are parsed once.
+    newest = sinks.table_sink(newest, scratch_path(t.spark, "newest"))
     known = newest.filter(F.col("last_updated") < mark() + F.expr("interval 200 days")).withColumn("state", F.lit("stale"))
     arrived = newest.filter(F.col("last_updated") >= mark()).withColumn("state", F.lit("fresh"))
     store = KeyedStore(t.spark, scratch_path(t.spark, "maintained"), known.schema, "oid", 20_000)

@@ -37,7 +37,7 @@ def folder(spark, tmp_path_factory):
 
 
 NAMES = (
-    "check_unique", "check_not_null", "check_relationship", "omop_validation_summary",
+    "check_unique", "check_not_null", "check_relationship", "omop_validation_summary", "maintained_versions", "pinned_version", "change_kinds",
 )
 
 
